@@ -9,9 +9,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+WAV = T.StructType([
+    T.StructField("rate", T.IntegerType()),
+    T.StructField("channels", T.IntegerType()),
+    T.StructField("samples", T.ArrayType(T.ShortType())),
+])
 
-@F.pandas_udf("struct<rate int, channels int, samples array<smallint>>")
+
+@F.pandas_udf(WAV)
 def wav_samples(content: pd.Series) -> pd.DataFrame:
     """16-bit PCM samples of WAV bytes; nulls for a file that cannot be read."""
     def read(data):

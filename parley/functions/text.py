@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.functions.arrays import bind
 
@@ -104,7 +105,7 @@ def round2(col: Column) -> Column:
     return F.bround(col, 2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def compression_ratio(text: pd.Series) -> pd.Series:
     """Bytes over zlib-compressed bytes; Spark has no built-in compressor."""
     def ratio(value):

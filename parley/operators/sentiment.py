@@ -53,11 +53,12 @@ def sentence_label(sentence: Column, lexicon: Mapping[str, float] = LEXICON) ->
 
 def most_frequent_label(labels: Column) -> Column:
     """Most frequent label of an array; of equals the one seen first."""
-    ranks = F.array(*[
-        F.struct((-F.size(F.filter(labels, lambda x, name=name: x == name))).alias("n"),
-                 F.array_position(labels, name).alias("first"), F.lit(name).alias("name")) for name in LABELS])
+    def rank(name: str) -> Column:
+        count = F.size(F.filter(labels, lambda x: x == name))
+        return F.struct((-count).alias("n"), F.array_position(labels, name).alias("first"), F.lit(name).alias("name"))
+
     # A label that does not occur has count 0 and never precedes one that does.
-    return F.array_min(ranks)["name"]
+    return F.array_min(F.array(*[rank(name) for name in LABELS]))["name"]
 
 
 def sentence_sentiment(df: DataFrame, text: str = "text", lexicon: Mapping[str, float] = LEXICON) -> DataFrame:

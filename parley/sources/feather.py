@@ -114,4 +114,4 @@ class FeatherDataSource(DataSource):
         return FeatherReader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> FeatherWriter:
-        return FeatherWriter(self.options["path"], to_arrow_schema(schema, timezone="UTC"), overwrite)
+        return FeatherWriter(self.options["path"], to_arrow_schema(schema), overwrite)

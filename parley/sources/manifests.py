@@ -5,9 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley import schemas
 
+LEGACY_SEGMENT = T.StructType([*schemas.SEGMENT.fields, T.StructField("sentiment", T.StringType())])
+
 
 def recordings(pages: DataFrame) -> DataFrame:
     """One row per recording of manifest pages."""
@@ -32,11 +35,11 @@ def legacy_segments(column: str = "segmented_transcription") -> Column:
     return _parse_segments(F.col(column))
 
 
-@F.pandas_udf("array<struct<start double, end double, text string, no_speech_probability double, sentiment string>>")
+@F.pandas_udf(T.ArrayType(LEGACY_SEGMENT))
 def _parse_segments(text: pd.Series) -> pd.Series:
     import ast
 
-    names = ("start", "end", "text", "no_speech_probability", "sentiment")
+    names = LEGACY_SEGMENT.fieldNames()
 
     def parse(value):
         try:
