@@ -322,12 +322,12 @@ def _(spark, sf_dir):
 
 @query("samples_and_seconds", """
 SELECT event_id, event_id * 1024 / 16000.0::DOUBLE AS seconds, CAST(trunc(value * 16000) AS BIGINT) AS samples,
-  round_even(event_id * 1024 / 16000.0::DOUBLE, 2) AS rounded FROM events""")
+  CAST(printf('%.2f', event_id * 0.015::DOUBLE) AS DOUBLE) AS rounded FROM events""")
 def _(spark, sf_dir):
     seconds = text.samples_to_seconds(F.col("event_id") * 1024)
     return table(spark, sf_dir, "events").select(
         "event_id", seconds.alias("seconds"), text.seconds_to_samples(F.col("value")).alias("samples"),
-        text.round2(seconds).alias("rounded"))
+        text.round2(F.col("event_id") * 0.015).alias("rounded"))
 
 
 TIDY_SQL = r"""

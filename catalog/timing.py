@@ -56,8 +56,8 @@ holders AS (SELECT call_id, silence, coalesce(lag("end" - silence) OVER w, 0) AS
 @query("restore_times", f"""
 WITH {HOLDERS_SQL},
 seg AS (SELECT call_id, i AS segment_no, i / 16.0::DOUBLE AS s, (i + 1) / 16.0::DOUBLE AS e FROM f)
-SELECT seg.call_id, segment_no, round_even(a.silence / 16000.0::DOUBLE + s, 2) AS start,
-  round_even(z.silence / 16000.0::DOUBLE + e, 2) AS "end"
+SELECT seg.call_id, segment_no, CAST(printf('%.2f', a.silence / 16000.0::DOUBLE + s) AS DOUBLE) AS start,
+  CAST(printf('%.2f', z.silence / 16000.0::DOUBLE + e) AS DOUBLE) AS "end"
 FROM seg LEFT JOIN holders a ON a.call_id = seg.call_id AND trunc(s * 16000) >= a.low AND trunc(s * 16000) < a.high
 LEFT JOIN holders z ON z.call_id = seg.call_id AND trunc(e * 16000) >= z.low AND trunc(e * 16000) < z.high""")
 def _(spark, sf_dir):
@@ -70,8 +70,8 @@ def _(spark, sf_dir):
 @query("restore_word_times", f"""
 WITH {HOLDERS_SQL},
 wd AS (SELECT call_id, i // 8 AS segment_no, i AS word_no, i / 16.0::DOUBLE AS s, (i + 1) / 16.0::DOUBLE AS e FROM f),
-r AS (SELECT wd.call_id, segment_no, word_no, round_even(silence / 16000.0::DOUBLE + s, 2) AS s,
-  round_even(silence / 16000.0::DOUBLE + e, 2) AS e
+r AS (SELECT wd.call_id, segment_no, word_no, CAST(printf('%.2f', silence / 16000.0::DOUBLE + s) AS DOUBLE) AS s,
+  CAST(printf('%.2f', silence / 16000.0::DOUBLE + e) AS DOUBLE) AS e
   FROM wd LEFT JOIN holders h ON h.call_id = wd.call_id AND trunc((s + e) / 2 * 16000) >= low AND trunc((s + e) / 2 * 16000) < high)
 SELECT call_id, segment_no, min_by(s, word_no) AS start, max_by(e, word_no) AS "end" FROM r GROUP BY 1, 2""")
 def _(spark, sf_dir):
@@ -90,11 +90,11 @@ def _(spark, sf_dir):
 
 
 @query("mean_token_probability", """
-SELECT user_id, event_type, round(avg(value / 500), 6) AS probability FROM events GROUP BY 1, 2""")
+SELECT user_id, event_type, round(avg(value / 500), 9) AS probability FROM events GROUP BY 1, 2""")
 def _(spark, sf_dir):
     tokens = table(spark, sf_dir, "events").select("user_id", "event_type", (F.col("value") / 500).alias("probability"))
     rows = timing.mean_token_probability(tokens, ["user_id", "event_type"])
-    return rows.withColumn("probability", F.round("probability", 6))
+    return rows.withColumn("probability", F.round("probability", 9))
 
 
 # Words and marks of a text as pieces of their own; a piece keeps the blank before it.

@@ -102,7 +102,18 @@ def seconds_to_samples(seconds: Column, rate: int = 16_000) -> Column:
 
 
 def round2(col: Column) -> Column:
-    return F.bround(col, 2)
+    """Nearest hundredth of the exact binary value; only a true tie goes to the even one.
+
+    `bround` rounds the printed decimals, so it sees ties (1.005) where the value is off one.
+    """
+    low = F.floor(col * 100)
+    middle = (low * 2 + 1) / F.lit(200.0)
+    # Which side of the true middle its nearest double lies on, from an exact split product.
+    spread = middle * F.lit(134217729.0)
+    high = spread - (spread - middle)
+    side = (high * 200 - (low * 2 + 1)) + (middle - high) * 200
+    up = F.when(col != middle, col > middle).when(side != 0, side > 0).otherwise(low % 2 != 0)
+    return F.when(up, low + 1).otherwise(low) / F.lit(100.0)
 
 
 @F.pandas_udf(T.DoubleType())
