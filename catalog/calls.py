@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from catalog.fixtures import CALLS_SQL, WIDE_SQL, calls, wide_segments
-from catalog.registry import query, table
+from catalog.registry import query, table, texts
 from parley.functions import audio, text, vectors
 from parley.operators import edits, filters, scoring, segments
 from parley.session import shared_dir
@@ -224,7 +224,7 @@ def _(spark, sf_dir):
 @query("clean_summary", r"""
 SELECT doc_id, regexp_replace(text, '[^\p{L}\p{N}_\s\p{Z}\x{0b}\x{85}.]', '', 'g') AS cleaned FROM documents""")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.clean_summary(F.col("text")).alias("cleaned"))
+    return texts(spark, sf_dir).select("doc_id", text.clean_summary(F.col("text")).alias("cleaned"))
 
 
 @query("alternate_speakers", f"""
@@ -253,7 +253,7 @@ WITH t AS (SELECT doc_id, list_filter(string_split_regex(text, '\\s+'), lambda x
 u AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM t)
 SELECT doc_id, i // 1000 AS chunk_no, string_agg(w, ' ' ORDER BY i) AS chunk FROM u GROUP BY 1, 2""")
 def _(spark, sf_dir):
-    return segments.fixed_token_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return segments.fixed_token_chunks(texts(spark, sf_dir))
 
 
 @query("pack_sentences", """
@@ -267,7 +267,7 @@ r AS (SELECT doc_id, pos, sentence, n AS used, 0 AS chunk_no FROM n WHERE pos =
   FROM r JOIN n ON n.doc_id = r.doc_id AND n.pos = r.pos + 1)
 SELECT doc_id, chunk_no, string_agg(sentence, chr(10) ORDER BY pos) AS chunk FROM r GROUP BY 1, 2""")
 def _(spark, sf_dir):
-    return segments.pack_sentences(table(spark, sf_dir, "documents").select("doc_id", "text"), 200)
+    return segments.pack_sentences(texts(spark, sf_dir), 200)
 
 
 @query("pcm_to_float", """
@@ -341,7 +341,7 @@ WITH s AS (SELECT doc_id, string_split_regex(text, '[.!?] ') AS c FROM documents
 u AS (SELECT doc_id, unnest(c) AS original, unnest(range(len(c))) AS pos FROM s), {TIDY_SQL}
 SELECT doc_id, string_agg(corrected || ' ', '' ORDER BY pos) AS corrected FROM corrected GROUP BY 1""")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", text.map_sentences(F.col("text"), text.tidy_sentence).alias("corrected"))
 
 

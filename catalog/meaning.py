@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.fixtures import CALLS_SQL, LEXICON, LEXICON_SQL, calls
-from catalog.registry import query, table
+from catalog.registry import query, table, texts
 from parley.functions.text import words
 from parley.operators import responses, segments, sentiment, summary, topics
 from parley.plans import calls as plans
@@ -132,7 +132,7 @@ WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{
 SELECT doc_id, coalesce(sum(weight), 0.0)::DOUBLE AS total, count(weight) AS matched, count(*) AS n_words
 FROM w LEFT JOIN {LEXICON_SQL} USING (word) GROUP BY 1""")
 def _(spark, sf_dir):
-    tokens = table(spark, sf_dir, "documents").select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+    tokens = texts(spark, sf_dir).select("doc_id", F.explode(words(F.col("text"))).alias("word"))
     lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, weight double")
     return sentiment.score_lexicon(tokens, lexicon, ["doc_id"])
 
@@ -159,7 +159,7 @@ summaries AS (SELECT {keys}, CASE WHEN coalesce(n, 0) > 30 THEN picked
 @query("extractive_summary", f"""
 WITH texts AS (SELECT doc_id, text FROM documents), {_summary_sql('texts', 'doc_id')} SELECT doc_id, summary FROM summaries""")
 def _(spark, sf_dir):
-    return summary.extractive_summary(table(spark, sf_dir, "documents"), ["doc_id"])
+    return summary.extractive_summary(texts(spark, sf_dir), ["doc_id"])
 
 
 @query("summary_by_chunk", f"""
@@ -169,7 +169,7 @@ texts AS (SELECT doc_id, i // 1000 AS chunk_no, string_agg(w, ' ' ORDER BY i) AS
 {_summary_sql('texts', 'doc_id, chunk_no')}
 SELECT doc_id, string_agg(summary, ' ' ORDER BY chunk_no) AS summary FROM summaries GROUP BY 1""")
 def _(spark, sf_dir):
-    return summary.summary_by_chunk(table(spark, sf_dir, "documents"), "doc_id")
+    return summary.summary_by_chunk(texts(spark, sf_dir), "doc_id")
 
 
 @query("render_prompts", f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query, table
+from catalog.registry import query, table, texts
 from parley.functions import pii
 from parley.operators.gazetteer import tag_gazetteer
 
@@ -53,16 +53,17 @@ def _chain_sql(column: str) -> str:
     return column
 
 
-# Dates, amounts, titles and the like do not occur in the texts, so each is put after every text once.
+# Dates, amounts, titles and the like do not occur in the texts, so each is put after every fifth text once.
 SAMPLES = (
     " Mrs. Doe paid $1,250.00 on March 3, 2021 and 03/04/2021; bill of $75.20. SSN 078-05-1120, confirmation number is"
     " AB12, 77, X9. Ship to 42 Elm Street, Springfield, IL 62704 or call (555) 555-0142, see https://example.com/a?b=1"
     " account 123456789012 ending 4321, write to jo.doe@example.com or Miss Ray.")
-WITH_SAMPLES_SQL = f"d AS (SELECT doc_id, text || {_quoted(SAMPLES)} AS text FROM documents)"
+WITH_SAMPLES_SQL = f"d AS (SELECT doc_id, text || CASE WHEN doc_id % 5 = 2 THEN {_quoted(SAMPLES)} ELSE '' END AS text FROM documents)"
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(SAMPLES)).alias("text"))
+    sample = F.when(F.col("doc_id") % 5 == 2, SAMPLES).otherwise("")
+    return texts(spark, sf_dir).select("doc_id", F.concat("text", sample).alias("text"))
 
 
 @query("pii_spans", f"WITH {WITH_SAMPLES_SQL}, {_matches_sql('d')} SELECT * FROM spans")
@@ -101,7 +102,7 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text,
   '\b[\p{L}\p{N}_]+([.*\-_]+[\p{L}\p{N}_]+)+\b', '***', 'g'), '\b\d+\b', '[REDACTED]', 'g'),
   '\b[\p{L}\p{N}_]+([.*\-_]+[\p{L}\p{N}_]+)+\b', '[REDACTED]', 'g') AS redacted FROM documents""")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", pii.redact_sequences(F.col("text")).alias("redacted"))
+    return texts(spark, sf_dir).select("doc_id", pii.redact_sequences(F.col("text")).alias("redacted"))
 
 
 @query("mask_terms", r"""
@@ -109,7 +110,7 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '\bthe\b', '**
   '\bis\b', '**', 'g') AS masked FROM documents""")
 def _(spark, sf_dir):
     terms = F.array(*[F.lit(t) for t in ("the", "with", "is")])
-    return table(spark, sf_dir, "documents").select("doc_id", pii.mask_terms(F.col("text"), terms).alias("masked"))
+    return texts(spark, sf_dir).select("doc_id", pii.mask_terms(F.col("text"), terms).alias("masked"))
 
 
 @query("pii_report", f"WITH {WITH_SAMPLES_SQL}, {_resolved_sql('d')} SELECT entity, count(*) AS n_spans FROM resolved GROUP BY 1")
@@ -133,5 +134,5 @@ def _(spark, sf_dir):
     word = F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
     names = table(spark, sf_dir, "benchmark").select(word.alias("w")).filter(F.length("w") > 5)
     names = names.select(F.lower("w").alias("word"), F.when(F.length("w") % 2 == 0, "PERSON").otherwise("LOCATION").alias("entity"))
-    spans = tag_gazetteer(table(spark, sf_dir, "documents").select("doc_id", "text"), names.distinct())
+    spans = tag_gazetteer(texts(spark, sf_dir), names.distinct())
     return spans.withColumns({"start": F.col("start").cast("long"), "end": F.col("end").cast("long")})

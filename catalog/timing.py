@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.fixtures import CHUNKS_SQL, OPTIONS, PADDED_SQL, SILENCE_SQL, WORDS_SQL, frames, words
-from catalog.registry import query, table
+from catalog.registry import query, table, texts
 from parley.operators import hypotheses, speech
 from parley.operators import words as timing
 
@@ -108,10 +108,11 @@ pieces AS (SELECT doc_id, word_no, word, (e - ms) / 1000.0::DOUBLE AS start, e /
 
 
 def _pieces(spark, sf_dir):
+    """Pieces of a text, which was one row: no key can be too large for a task."""
     from parley.functions.arrays import running_sums
 
     found = F.regexp_extract_all("text", F.lit(PIECE), F.lit(0))
-    rows = table(spark, sf_dir, "documents").select("doc_id", found.alias("_p"))
+    rows = texts(spark, sf_dir).select("doc_id", found.alias("_p"))
     rows = rows.withColumn("_ms", F.transform("_p", lambda w, i: F.when(i % 11 == 0, 900).otherwise(F.length(w) * 40)))
     rows = rows.withColumn("_ends", running_sums(F.col("_ms")))
     rows = rows.select("doc_id", F.posexplode(F.arrays_zip("_p", "_ms", "_ends")).alias("word_no", "_w"))
@@ -130,7 +131,7 @@ SELECT doc_id, word_no,
   round(CASE WHEN "end" - start > 2 * median AND prev IS NOT NULL AND contains('.。!！?？', word)
     THEN start + 2 * median ELSE "end" END, 6) AS "end" FROM l""")
 def _(spark, sf_dir):
-    rows = timing.trim_long_words(_pieces(spark, sf_dir), ["doc_id"])
+    rows = timing.trim_long_words(_pieces(spark, sf_dir), ["doc_id"], hot=False)
     return rows.select("doc_id", "word_no", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
@@ -152,7 +153,7 @@ c AS (SELECT *, sum(CASE WHEN prev IS NOT NULL AND contains({CLOSING_SQL}, word)
 SELECT doc_id, min(word_no) AS word_no, string_agg(word, '' ORDER BY word_no) AS word, min_by(start, word_no) AS start,
   min_by("end", word_no) AS "end" FROM c GROUP BY doc_id, run2""")
 def _(spark, sf_dir):
-    return timing.merge_punctuation(_pieces(spark, sf_dir), ["doc_id"])
+    return timing.merge_punctuation(_pieces(spark, sf_dir), ["doc_id"], hot=False)
 
 
 @query("assign_speakers", f"""
@@ -270,7 +271,7 @@ def _(spark, sf_dir):
     from parley.functions.text import pieces
 
     tokens = F.transform(pieces(F.col("text")), lambda w, i: F.when(w.rlike("[.,]$"), 50364 + (i + 1) % 1500).otherwise(F.length(w)))
-    rows = table(spark, sf_dir, "documents").select(
+    rows = texts(spark, sf_dir).select(
         "doc_id", tokens.alias("tokens"), F.lit(10.0).alias("time_offset"), F.lit(30.0).alias("segment_duration"))
     parts = timing.split_on_markers(rows.filter(F.size("tokens") > 0), 50364)
     return parts.select("doc_id", "part", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"),

@@ -19,6 +19,8 @@ from parley.session import cut
 
 # Rows of one call that a single task may sort; a few hundred MB at most, and it can spill.
 MAX_GROUP_ROWS = 2_000_000
+# Rows of one block, as far as positions are dense.
+BLOCK_ROWS = 65_536
 BLOCK = "_block"
 
 
@@ -136,6 +138,6 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Col
     return Ordered(df.withColumn(BLOCK, block) if hot else df, tuple(keys), tuple(order), hot)
 
 
-def position_block(column: str, size: int = 65_536) -> Column:
+def position_block(column: str, size: int | None = None) -> Column:
     """Block of a whole-number position."""
-    return F.floor(F.col(column) / size).cast("long")
+    return F.floor(F.col(column) / (size or BLOCK_ROWS)).cast("long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -13,6 +13,8 @@ from parley.functions.text import round2, seconds_to_samples
 from parley.operators.ordered import is_hot, ordered, position_block
 
 CALL = "call_id"
+# Stretch of audio whose chunks and times one task may hold.
+BLOCK_SECONDS = 3600
 
 
 @dataclass(frozen=True)
@@ -96,7 +98,7 @@ def speech_chunks(frames: DataFrame, options: SpeechOptions = SpeechOptions(), l
 
 
 def _sample_block(options: SpeechOptions, column: str = "start") -> Column:
-    return F.floor(F.col(column) / (options.rate * 3600)).cast("long")
+    return F.floor(F.col(column) / (options.rate * BLOCK_SECONDS)).cast("long")
 
 
 def _numbered(chunks: DataFrame, options: SpeechOptions, hot: bool) -> DataFrame:
@@ -104,23 +106,9 @@ def _numbered(chunks: DataFrame, options: SpeechOptions, hot: bool) -> DataFrame
     return rows.select(CALL, (F.col("_nth") - 1).alias("chunk_no"), "start", "end")
 
 
-def _limited_chunks(frames: DataFrame, options: SpeechOptions, lengths: DataFrame | None, hot: bool) -> DataFrame:
-    """Chunks under a maximum length, decided frame by frame.
-
-    After a pause of the minimum silence plus the 98 ms at which a cut may restart the count,
-    the decision holds no memory. Such pauses split a call into stretches, and each stretch is
-    walked on its own, in order, over bounded batches.
-    """
-    lengths = audio_lengths(frames, options) if lengths is None else lengths
+def _walker(options: SpeechOptions) -> Callable[[tuple, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Chunks of one stretch, from its frames in order; the last `end` is null if speech goes on."""
     split = 98 * options.rate // 1000
-    reset = options.samples(options.min_silence_ms) + split + options.window
-    starts = _events(frames, options, reset, hot).filter(F.col("opens")).df.select(CALL, "at", F.lit(1).alias("_first"))
-    rows = frames.select(CALL, F.col("frame_idx").cast("long").alias("at"), F.col("prob").cast("double").alias("prob"))
-    rows = rows.join(starts, [CALL, "at"], "left")
-    rows = ordered(rows, [CALL], ["at"], position_block("at"), hot).running_sum(
-        stretch=F.coalesce(F.col("_first"), F.lit(0))).rows().filter("stretch > 0")
-    sorted_rows = rows.select(CALL, "stretch", "at", "prob").repartition(CALL, "stretch").sortWithinPartitions(
-        CALL, "stretch", "at")
     window, low, high = options.window, options.low, options.threshold
     longest, silence = options.max_speech_samples, options.samples(options.min_silence_ms)
     shortest = options.samples(options.min_speech_ms)
@@ -157,12 +145,33 @@ def _limited_chunks(frames: DataFrame, options: SpeechOptions, lengths: DataFram
         if begin is not None:
             yield pd.DataFrame({CALL: [key[0]], "stretch": [key[1]], "start": [begin], "end": [None]})
 
+    return walk
+
+
+def _limited_chunks(frames: DataFrame, options: SpeechOptions, lengths: DataFrame | None, hot: bool) -> DataFrame:
+    """Chunks under a maximum length, decided frame by frame.
+
+    After a pause of the minimum silence plus the 98 ms at which a cut may restart the count,
+    the decision holds no memory. Such pauses split a call into stretches, and each stretch is
+    walked on its own, in order, over bounded batches.
+    """
+    lengths = audio_lengths(frames, options) if lengths is None else lengths
+    split = 98 * options.rate // 1000
+    reset = options.samples(options.min_silence_ms) + split + options.window
+    starts = _events(frames, options, reset, hot).filter(F.col("opens")).df.select(CALL, "at", F.lit(1).alias("_first"))
+    rows = frames.select(CALL, F.col("frame_idx").cast("long").alias("at"), F.col("prob").cast("double").alias("prob"))
+    rows = rows.join(starts, [CALL, "at"], "left")
+    rows = ordered(rows, [CALL], ["at"], position_block("at"), hot).running_sum(
+        stretch=F.coalesce(F.col("_first"), F.lit(0))).rows().filter("stretch > 0")
+    sorted_rows = rows.select(CALL, "stretch", "at", "prob").repartition(CALL, "stretch").sortWithinPartitions(
+        CALL, "stretch", "at")
     call_type = frames.schema[CALL].dataType.simpleString()
     walked = sorted_rows.groupBy(CALL, "stretch").applyInPandas(
-        walk, f"{CALL} {call_type}, stretch long, start long, end long")
+        _walker(options), f"{CALL} {call_type}, stretch long, start long, end long")
     # A chunk left open runs to the end of the audio; only the last stretch can leave one.
     chunks = walked.join(lengths, CALL).withColumn("_open", F.col("end").isNull())
     chunks = chunks.select(CALL, "start", F.coalesce("end", "samples").alias("end"), "_open")
+    shortest = options.samples(options.min_speech_ms)
     chunks = chunks.filter(~F.col("_open") | (F.col("end") - F.col("start") > shortest))
     return _numbered(chunks.drop("_open"), options, hot)
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.35
 TOP = 10
-# Topic vectors are sent to every task only if proven to stay below this many bytes.
+# Topic vectors are sent to every task only if proven to stay within these bounds.
+MAX_TOPICS = 4096
 MAX_MATRIX_BYTES = 64 << 20
 BLOCK_TOPICS = 2048
 GROUP_SENTENCES = 20_000
@@ -44,11 +45,11 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _small_matrix(topics: DataFrame) -> tuple[list, np.ndarray] | None:
-    """Names and unit vectors if they fit the bound; else None. Never collects more than the bound."""
-    size = topics.select(F.size("vector").alias("d")).agg(F.count("d").alias("n"), F.max("d").alias("d")).first()
-    if size["n"] == 0 or size["n"] * size["d"] * 8 > MAX_MATRIX_BYTES:
+    """Names and unit vectors if they fit the bound, else None. At most the bound is fetched."""
+    table = topics.select("topic", "vector").limit(MAX_TOPICS + 1).toArrow()
+    if table.num_rows > MAX_TOPICS or table.nbytes > MAX_MATRIX_BYTES or not table.num_rows:
         return None
-    table = topics.select("topic", "vector").orderBy("topic").toArrow()
+    table = table.sort_by("topic")
     return table.column("topic").to_pylist(), _matrix(table.column("vector"))
 
 

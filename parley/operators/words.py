@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import strip
@@ -38,11 +38,18 @@ def mean_token_probability(tokens: DataFrame, keys: list[str]) -> DataFrame:
 
 def trim_long_words(words: DataFrame, keys: list[str], number: str = "word_no", hot: bool | None = None) -> DataFrame:
     """Shorten words at sentence marks to twice the median duration of their window."""
-    rows = ordered(words, keys, [number], position_block(number), hot).previous(_before=F.col("word")).rows()
+    line = ordered(words, keys, [number], position_block(number), hot).previous(_before=F.col("word"))
+    if line.hot:
+        rows = line.rows().join(median_word_duration(words, keys), keys)
+    else:
+        # The window's rows are in one place already; a second pass over the words would cost more.
+        duration = F.col("end") - F.col("start")
+        median = F.median(F.when(duration != 0, duration)).over(Window.partitionBy(*keys))
+        rows = line.df.withColumn("median", F.coalesce(median, F.lit(0.0)))
     limit = F.col("median") * 2
     long = (F.col("end") - F.col("start") > limit) & F.col("_before").isNotNull() & (F.col("median") > 0)
     is_mark = _in(SENTENCE_MARKS, F.col("word"))
-    return rows.join(median_word_duration(words, keys), keys).withColumns({
+    return rows.withColumns({
         "end": F.when(long & is_mark, F.col("start") + limit).otherwise(F.col("end")),
         "start": F.when(long & ~is_mark & _in(SENTENCE_MARKS, F.col("_before")), F.col("end") - limit)
         .otherwise(F.col("start")),
@@ -121,6 +128,7 @@ def fix_segment_boundaries(segments: DataFrame, words: DataFrame, hot: bool | No
     The answer is then the last settled one, flipped once per opposite since.
     """
     keys = ["call_id", "segment_no"]
+    hot = is_hot(segments, ["call_id"]) if hot is None else hot
     rows = segments.join(segment_edges(words, keys), keys)
     too_long = (F.col("w0.end") - F.col("w0.start") > F.col("median") * 2) | F.coalesce(
         F.col("w1.end") - F.col("w0.start") > F.col("median") * 4, F.lit(False))

@@ -42,6 +42,16 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out rows that come from fewer files than there are cores.
+
+    For costly work per row on a small input, whose one file would be one task. An input of
+    many files is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably, so several later passes do not recompute it."""
     shared_dir(df.sparkSession)
