@@ -18,14 +18,21 @@ def read_wav(spark: SparkSession, path: str, pattern: str = "*.wav") -> DataFram
     return files.withColumn("_wav", wav_samples("content")).select("path", "_wav.*")
 
 
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Base name, size and time of the files below `path`; their bytes are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
+    """Base name, size and time of the files below `path`; their bytes are not read.
+
+    An empty file has no row.
+    """
+    return _scan(spark, path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Number of files, their bytes, and the latest change."""
+    """Number of files (empty ones too), their bytes, and the latest change of those not empty."""
+    n_files = len(_scan(spark, path).inputFiles())
     return list_files(spark, path).agg(
-        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"),
+        F.lit(n_files).cast("long").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"),
         F.max("modificationTime").alias("latest"))
