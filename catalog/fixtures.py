@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog.registry import table
 from parley.functions.arrays import running_sums
 from parley.functions.text import pieces
-from parley.operators.ordered import ordered
+from parley.operators.ordered import MAX_GROUP_ROWS, is_hot, ordered
 from parley.operators.speech import SpeechOptions
 
 # Weights of words the invented texts contain.
@@ -47,11 +47,16 @@ WIDE_SQL = CALLS_SQL + """, wide AS (
   FROM calls)"""
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def has_hot_call(spark: SparkSession, sf_dir: str) -> bool:
+    """Checked once per query on the events: chunks are fewer than frames, and times are two per frame."""
+    return is_hot(table(spark, sf_dir, "events"), ["user_id"], MAX_GROUP_ROWS // 3)
+
+
+def frames(spark: SparkSession, sf_dir: str, hot: bool) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("call_id"), "ts", "event_id", (F.round(F.col("value") * 100).cast("long") % 100).alias("pct"))
     day = F.floor(F.unix_micros("ts") / 86_400_000_000)
-    numbered = ordered(events, ["call_id"], ["ts", "event_id"], day).number("n").rows()
+    numbered = ordered(events, ["call_id"], ["ts", "event_id"], day, hot).number("n").rows()
     return numbered.select("call_id", (F.col("n") - 1).alias("frame_idx"), (F.col("pct") / 100.0).alias("prob"))
 
 

@@ -4,38 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.fixtures import CHUNKS_SQL, OPTIONS, PADDED_SQL, SILENCE_SQL, WORDS_SQL, frames, words
+from catalog.fixtures import CHUNKS_SQL, OPTIONS, PADDED_SQL, SILENCE_SQL, WORDS_SQL, frames, has_hot_call, words
 from catalog.registry import query, table, texts
 from parley.operators import hypotheses, speech
 from parley.operators import words as timing
 
 
-def _padded(spark, sf_dir):
-    rows = frames(spark, sf_dir)
-    return speech.pad_chunks(speech.speech_chunks(rows, OPTIONS), speech.audio_lengths(rows), OPTIONS)
+def _padded(spark, sf_dir, hot):
+    rows = frames(spark, sf_dir, hot)
+    return speech.pad_chunks(speech.speech_chunks(rows, OPTIONS, hot=hot), speech.audio_lengths(rows), OPTIONS, hot)
 
 
 @query("speech_chunks", f'WITH {CHUNKS_SQL} SELECT call_id, chunk_no, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end" FROM chunks')
 def _(spark, sf_dir):
-    return speech.speech_chunks(frames(spark, sf_dir), OPTIONS)
+    hot = has_hot_call(spark, sf_dir)
+    return speech.speech_chunks(frames(spark, sf_dir, hot), OPTIONS, hot=hot)
 
 
 @query("speech_chunks_limited")
 def _(spark, sf_dir):
     limited = speech.SpeechOptions(min_silence_ms=500, max_speech_s=3.0)
-    return speech.speech_chunks(frames(spark, sf_dir), limited)
+    hot = has_hot_call(spark, sf_dir)
+    return speech.speech_chunks(frames(spark, sf_dir, hot), limited, hot=hot)
 
 
 @query("pad_chunks", f"WITH {PADDED_SQL} SELECT * FROM padded")
 def _(spark, sf_dir):
-    return _padded(spark, sf_dir)
+    return _padded(spark, sf_dir, has_hot_call(spark, sf_dir))
 
 
 @query("cumulative_silence", f"""
 WITH {SILENCE_SQL} SELECT call_id, chunk_no, silence, start - silence AS compressed_start, "end" - silence AS compressed_end,
   silence / 16000.0::DOUBLE AS before FROM silence""")
 def _(spark, sf_dir):
-    return speech.cumulative_silence(_padded(spark, sf_dir), OPTIONS).drop("start", "end")
+    hot = has_hot_call(spark, sf_dir)
+    return speech.cumulative_silence(_padded(spark, sf_dir, hot), OPTIONS, hot).drop("start", "end")
 
 
 @query("speech_stats", f"""
@@ -43,7 +46,8 @@ WITH {PADDED_SQL}, k AS (SELECT call_id, sum("end" - start) AS kept FROM padded
 SELECT call_id, samples / 16000.0::DOUBLE AS duration, coalesce(kept, 0) / 16000.0::DOUBLE AS duration_after,
   (samples - coalesce(kept, 0)) / 16000.0::DOUBLE AS removed FROM lengths LEFT JOIN k USING (call_id)""")
 def _(spark, sf_dir):
-    return speech.speech_stats(_padded(spark, sf_dir), speech.audio_lengths(frames(spark, sf_dir)), OPTIONS)
+    hot = has_hot_call(spark, sf_dir)
+    return speech.speech_stats(_padded(spark, sf_dir, hot), speech.audio_lengths(frames(spark, sf_dir, hot)), OPTIONS)
 
 
 # A chunk holds the samples up to its end on the shortened audio; the last one holds all that follow.
@@ -61,10 +65,11 @@ SELECT seg.call_id, segment_no, CAST(printf('%.2f', a.silence / 16000.0::DOUBLE
 FROM seg LEFT JOIN holders a ON a.call_id = seg.call_id AND trunc(s * 16000) >= a.low AND trunc(s * 16000) < a.high
 LEFT JOIN holders z ON z.call_id = seg.call_id AND trunc(e * 16000) >= z.low AND trunc(e * 16000) < z.high""")
 def _(spark, sf_dir):
-    segments = frames(spark, sf_dir).select(
+    hot = has_hot_call(spark, sf_dir)
+    segments = frames(spark, sf_dir, hot).select(
         "call_id", F.col("frame_idx").alias("segment_no"), (F.col("frame_idx") / 16.0).alias("start"),
         ((F.col("frame_idx") + 1) / 16.0).alias("end"))
-    return speech.restore_times(segments, _padded(spark, sf_dir), OPTIONS)
+    return speech.restore_times(segments, _padded(spark, sf_dir, hot), OPTIONS, hot)
 
 
 @query("restore_word_times", f"""
@@ -75,10 +80,11 @@ r AS (SELECT wd.call_id, segment_no, word_no, CAST(printf('%.2f', silence / 1600
   FROM wd LEFT JOIN holders h ON h.call_id = wd.call_id AND trunc((s + e) / 2 * 16000) >= low AND trunc((s + e) / 2 * 16000) < high)
 SELECT call_id, segment_no, min_by(s, word_no) AS start, max_by(e, word_no) AS "end" FROM r GROUP BY 1, 2""")
 def _(spark, sf_dir):
-    spoken = frames(spark, sf_dir).select(
+    hot = has_hot_call(spark, sf_dir)
+    spoken = frames(spark, sf_dir, hot).select(
         "call_id", F.floor(F.col("frame_idx") / 8).alias("segment_no"), F.col("frame_idx").alias("word_no"),
         (F.col("frame_idx") / 16.0).alias("start"), ((F.col("frame_idx") + 1) / 16.0).alias("end"))
-    return speech.segments_from_words(speech.restore_word_times(spoken, _padded(spark, sf_dir), OPTIONS))
+    return speech.segments_from_words(speech.restore_word_times(spoken, _padded(spark, sf_dir, hot), OPTIONS, hot))
 
 
 @query("median_word_duration", f"""

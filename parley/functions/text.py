@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from parley.functions.arrays import bind
 
 SENTENCE_BREAK = "[.!?] "
+BLANKS = r"(?U)\s+"
 # Letters, digits, underscore, white space and full stop survive a clean-up.
 NOT_SUMMARY_TEXT = r"(?U)[^\p{L}\p{N}_\s.]"
 WORD = r"[\p{L}\p{N}_]+"
@@ -29,7 +30,7 @@ def strip(col: Column) -> Column:
 
 def pieces(col: Column) -> Column:
     """Non-empty white-space separated pieces."""
-    return F.filter(F.split(col, r"(?U)\s+"), lambda p: p != "")
+    return F.filter(F.split(col, BLANKS), lambda p: p != "")
 
 
 def words(col: Column) -> Column:

@@ -119,6 +119,9 @@ class Ordered:
         rows = rows.withColumns({n: F.coalesce(f"_l_{n}", f"_c_{n}") for n in values})
         return self._finish(rows, values)
 
+    def with_columns(self, **values: Column) -> Ordered:
+        return replace(self, df=self.df.withColumns(values))
+
     def filter(self, condition: Column) -> Ordered:
         return replace(self, df=self.df.filter(condition))
 

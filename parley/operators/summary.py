@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.functions.text import pieces, sentences
+from parley.functions.text import BLANKS, SENTENCE_BREAK, sentences
 from parley.operators.filters import NO_SUMMARY, status_default
 from parley.operators.segments import fixed_token_chunks
 
@@ -13,6 +13,16 @@ MAX_TOKENS = 150
 WHOLE_TOKENS = 30
 
 
+def _has_at_most(text: Column, n: int) -> Column:
+    """Whether the sentences of a text have at most `n` tokens together.
+
+    A sentence break parts tokens as a blank does. Splitting stops once the answer is known:
+    of `n` + 3 parts only the first and the last can be empty.
+    """
+    parts = F.split(F.regexp_replace(text, SENTENCE_BREAK, " "), BLANKS, n + 3)
+    return F.size(F.filter(parts, lambda p: p != "")) <= n
+
+
 def extractive_summary(df: DataFrame, keys: list[str], text: str = "text", max_tokens: int = MAX_TOKENS,
                        whole_tokens: int = WHOLE_TOKENS) -> DataFrame:
     """Best sentences of each text within a token budget, in their order.
@@ -21,12 +31,12 @@ def extractive_summary(df: DataFrame, keys: list[str], text: str = "text", max_t
     kept whole, without a shuffle. In the others at most `max_tokens` sentences can fit, so
     the ranking keeps that many per text before it leaves the map tasks.
     """
-    tokens = F.transform(sentences(F.col(text)), lambda s: F.size(pieces(s)))
-    rows = df.select(*keys, text, F.aggregate(tokens, F.lit(0), lambda a, n: a + n).alias("_n"))
-    short = rows.filter(F.col("_n") <= whole_tokens).select(*keys, status_default(F.col(text), NO_SUMMARY).alias("summary"))
+    short = _has_at_most(F.col(text), whole_tokens)
+    rows = df.select(*keys, text)
+    whole = rows.filter(short).select(*keys, status_default(F.col(text), NO_SUMMARY).alias("summary"))
 
-    split = rows.filter(F.col("_n") > whole_tokens).select(*keys, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
-    words = split.select(*keys, "pos", F.explode(pieces(F.lower("sentence"))).alias("token"))
+    split = rows.filter(~short).select(*keys, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
+    words = split.select(*keys, "pos", F.explode(F.split(F.lower("sentence"), BLANKS)).alias("token")).filter("token <> ''")
     words = words.groupBy(*keys, "pos", "token").agg(F.count(F.lit(1)).alias("n"))
     frequency = words.groupBy(*keys, "token").agg(F.sum("n").alias("tf"))
     scores = words.join(frequency, [*keys, "token"]).groupBy(*keys, "pos").agg(
@@ -38,7 +48,7 @@ def extractive_summary(df: DataFrame, keys: list[str], text: str = "text", max_t
     kept = ranked.withColumn("used", used).filter((F.col("used") <= max_tokens) | (F.col("rank") == 1))
     chosen = split.join(kept.select(*keys, "pos"), [*keys, "pos"])
     long = chosen.groupBy(*keys).agg(F.expr("listagg(sentence, ' ') WITHIN GROUP (ORDER BY pos)").alias("summary"))
-    return short.unionByName(long)
+    return whole.unionByName(long)
 
 
 def summary_by_chunk(df: DataFrame, key: str, text: str = "text", chunk_tokens: int = 1000,

@@ -56,13 +56,11 @@ def trim_long_words(words: DataFrame, keys: list[str], number: str = "word_no",
     }).drop("_before", "median")
 
 
-def _join_runs(rows: DataFrame, keys: list[str], run: str, number: str, keep: Column) -> DataFrame:
-    """One row per run: words joined in order, the rest from the row `keep` ranks highest."""
-    others = [c for c in rows.columns if c not in (*keys, run, "word")]
-    joined = rows.groupBy(*keys, run).agg(
-        F.expr(f"listagg(word, '') WITHIN GROUP (ORDER BY {number})").alias("word"),
-        F.max_by(F.struct(*others), keep).alias("_kept"))
-    return joined.select(*keys, "word", "_kept.*")
+def _join_runs(rows: DataFrame, keys: list[str], run: str, number: str, keep: str) -> DataFrame:
+    """One row per run, the one flagged `keep`, with the words of the run joined in order."""
+    whole = Window.partitionBy(*keys, run).orderBy(number).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    joined = rows.withColumn("_joined", F.array_join(F.collect_list("word").over(whole), ""))
+    return joined.filter(keep).withColumn("word", F.col("_joined")).drop("_joined", run, keep)
 
 
 def merge_punctuation(words: DataFrame, keys: list[str], number: str = "word_no", prepended: str = PREPENDED,
@@ -74,17 +72,17 @@ def merge_punctuation(words: DataFrame, keys: list[str], number: str = "word_no"
     """
     hot = is_hot(words, keys) if hot is None else hot
     opening = F.col("word").startswith(" ") & _in(prepended, strip(F.col("word")))
-    rows = ordered(words, keys, [number], position_block(number), hot)
-    rows = rows.following(_after=F.col("word"))
-    rows = rows.running_sum(_words=F.when(opening & F.col("_after").isNotNull(), 0).otherwise(1)).rows()
-    ends_run = ~(opening & F.col("_after").isNotNull())
-    rows = rows.withColumn("_run", F.col("_words") - F.when(ends_run, 1).otherwise(0)).drop("_words", "_after")
-    rows = _join_runs(rows, keys, "_run", number, F.col(number))
-
-    rows = ordered(rows, keys, [number], position_block(number), hot).previous(_before=F.col("word"))
+    line = ordered(words, keys, [number], position_block(number), hot).following(_after=F.col("word"))
+    line = line.with_columns(_ends=~(opening & F.col("_after").isNotNull()))
+    line = line.running_sum(_words=F.col("_ends").cast("int"))
+    rows = line.rows().withColumn("_run", F.col("_words") - F.col("_ends").cast("int")).drop("_words", "_after")
+    rows = _join_runs(rows, keys, "_run", number, "_ends")
+
+    line = ordered(rows, keys, [number], position_block(number), hot).previous(_before=F.col("word"))
     glued = _in(appended, F.col("word")) & F.col("_before").isNotNull() & ~F.col("_before").endswith(" ")
-    rows = rows.running_sum(_run=F.when(glued, 0).otherwise(1)).rows().drop("_before")
-    return _join_runs(rows, keys, "_run", number, -F.col(number)).filter(F.col("word") != "")
+    line = line.with_columns(_starts=F.coalesce(~glued, F.lit(True)))
+    rows = line.running_sum(_run=F.col("_starts").cast("int")).rows().drop("_before")
+    return _join_runs(rows, keys, "_run", number, "_starts").filter(F.col("word") != "")
 
 
 def segment_edges(words: DataFrame, keys: list[str]) -> DataFrame:
@@ -148,8 +146,7 @@ def fix_segment_boundaries(segments: DataFrame, words: DataFrame, hot: bool | No
         gap = F.col("w0.end") - F.coalesce(spoken, F.lit(0.0))
         return F.col("_long") & (gap > F.col("median") * PAUSE_MEDIANS)
 
-    line = type(line)(line.df.withColumns({"_if_no": after("no"), "_if_yes": after("yes")}),
-                      line.keys, line.order, line.hot)
+    line = line.with_columns(_if_no=after("no"), _if_yes=after("yes"))
     settled = F.when(F.col("_if_no") == F.col("_if_yes"), F.col("_if_no"))
     flips = F.when(F.col("_if_no") & ~F.col("_if_yes"), 1).otherwise(0)
     line = line.running_sum(_flips=flips)
