@@ -13,26 +13,32 @@ from parley.functions.text import rewrite_matches
 
 
 class Pattern(NamedTuple):
+    """A recogniser. Texts without the literal `needs`, part of every match, are not searched."""
+
     entity: str
     regex: str
     score: float
+    needs: str = ""
+
+    def only_where_possible(self, text: Column, search: Column, otherwise: Column) -> Column:
+        return F.when(F.contains(text, F.lit(self.needs)), search).otherwise(otherwise) if self.needs else search
 
 
 # Entity, expression and score of each recogniser. The order is the order in
 # which the replacement chain applies them, most specific first.
 PATTERNS = (
     Pattern("CONFIRMATION_NUMBER", r"confirmation\snumber\s(?:is\s)?((?:\d+|\w+)(?:,\s?(?:\d+|\w+))*)", 0.9),
-    Pattern("BILL_AMOUNT", r"\b(?:payment|bill|amount)\s?of\s?\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6),
+    Pattern("BILL_AMOUNT", r"\b(?:payment|bill|amount)\s?of\s?\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6, "$"),
     Pattern("ADDRESS", r"\b\d{1,5}\s([a-zA-Z\s]{1,})\b,?\s([a-zA-Z\s]{1,}),?\s([A-Z]{2}),?\s\d{5}\b", 0.85),
-    Pattern("EMAIL_ADDRESS", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", 0.5),
-    Pattern("URL", r"\bhttps?://[^\s<>\"]+", 0.6),
+    Pattern("EMAIL_ADDRESS", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", 0.5, "@"),
+    Pattern("URL", r"\bhttps?://[^\s<>\"]+", 0.6, "://"),
     Pattern("US_SSN", r"\b\d{3}-\d{2}-\d{4}\b", 0.85),
     Pattern("PHONE_NUMBER", r"\(?\b\d{3}\)?[-.]?\s?\d{3}[-.]?\s?\d{4}\b", 0.5),
     Pattern("DATE", r"\b(?:\d{1,2}[-/]\d{1,2}[-/]\d{2,4}|\d{2,4}[-/]\d{1,2}[-/]\d{1,2}"
                     r"|\b(?:January|February|March|April|May|June|July|August|September|October|November|December)"
                     r"\b\s\d{1,2},?\s\d{4})\b", 0.5),
     Pattern("ACCOUNT_NUMBER", r"\b\d{8,12}\b", 0.5),
-    Pattern("DOLLAR_AMOUNT", r"\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6),
+    Pattern("DOLLAR_AMOUNT", r"\$\s?\d+(?:,\d{3})*(?:\.\d{2})?", 0.6, "$"),
     Pattern("US_SSN", r"\b\d{4}\b", 0.85),
     Pattern("TITLE", r"\b(?:Mr\.|Mrs\.|Miss\b)", 1.0),
 )
@@ -43,17 +49,10 @@ FLAGS = "(?ismU)"
 SPAN = "struct<entity:string,start:int,end:int,score:double>"
 
 
-def match_ends(text: Column, found: Column, pattern: str) -> Column:
-    """End offsets of the matches `found`, from the lengths of the matches and of the text between."""
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    return running_sums(F.zip_with(gaps, found, lambda gap, match: F.length(gap) + F.length(match)))
-
-
-def _spans_of(text: Column, found: Column, pattern: Pattern) -> Column:
-    spans = F.zip_with(match_ends(text, found, FLAGS + pattern.regex), found, lambda end, match: F.struct(
-        F.lit(pattern.entity).alias("entity"), (end - F.length(match)).alias("start"), end.alias("end"),
-        F.lit(pattern.score).alias("score")))
-    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+def match_ends(gaps: Column, found: Column) -> Column:
+    """End offsets of the matches `found`, from their lengths and those of the text before each."""
+    return running_sums(F.zip_with(F.slice(gaps, 1, F.size(found)), found,
+                                   lambda gap, match: F.length(gap) + F.length(match)))
 
 
 def pii_spans(df: DataFrame, text: str = "text", out: str = "spans",
@@ -61,12 +60,21 @@ def pii_spans(df: DataFrame, text: str = "text", out: str = "spans",
     """Add every match of every pattern as `array<struct<entity,start,end,score>>`.
 
     Offsets count code points. The matches are their own projection, so each expression runs
-    once per row, and texts without a match are not split.
+    once per row, and texts without a match are not split. One expression places the matches
+    of all patterns, which keeps the plan small.
     """
-    found = {f"_found_{i}": F.regexp_extract_all(text, F.lit(FLAGS + p.regex), F.lit(0))
-             for i, p in enumerate(patterns)}
-    spans = [_spans_of(F.col(text), F.col(name), p) for name, p in zip(found, patterns)]
-    return df.withColumns(found).withColumn(out, F.concat(*spans)).drop(*found)
+    none = F.when(F.col(text).isNotNull(), F.array().cast("array<string>"))
+    found = {f"_found_{i}": p.only_where_possible(
+        F.col(text), F.regexp_extract_all(text, F.lit(FLAGS + p.regex), F.lit(0)), none) for i, p in enumerate(patterns)}
+    searched = F.array(*[
+        F.struct(F.lit(p.entity).alias("entity"), F.lit(p.score).alias("score"), F.col(name).alias("found"),
+                 F.when(F.size(name) > 0, F.split(text, FLAGS + p.regex, -1)).alias("gaps"))
+        for name, p in zip(found, patterns)])
+    hits = F.filter(searched, lambda p: F.size(p["found"]) > 0)
+    spans = F.transform(hits, lambda p: F.zip_with(match_ends(p["gaps"], p["found"]), p["found"], lambda end, match: F.struct(
+        p["entity"].alias("entity"), (end - F.length(match)).alias("start"), end.alias("end"), p["score"].alias("score"))))
+    spans = F.when(F.col(text).isNotNull(), F.flatten(spans).cast(f"array<{SPAN}>"))
+    return df.withColumns(found).withColumn(out, spans).drop(*found)
 
 
 def resolve_spans(spans: Column) -> Column:

@@ -14,7 +14,7 @@ from parley.operators.lookup import lookup
 def located_words(text: Column) -> Column:
     """Lower-case words of a text with their offsets, as `array<struct<word,start,end>>`."""
     return bind(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda found: F.zip_with(
-        match_ends(text, found, WORD), found, lambda end, word: F.struct(
+        match_ends(F.split(text, WORD, -1), found), found, lambda end, word: F.struct(
             F.lower(word).alias("word"), (end - F.length(word)).alias("start"), end.alias("end"))))
 
 

@@ -39,7 +39,8 @@ def extractive_summary(df: DataFrame, keys: list[str], text: str = "text", max_t
     words = split.select(*keys, "pos", F.explode(F.split(F.lower("sentence"), BLANKS)).alias("token")).filter("token <> ''")
     words = words.groupBy(*keys, "pos", "token").agg(F.count(F.lit(1)).alias("n"))
     frequency = words.groupBy(*keys, "token").agg(F.sum("n").alias("tf"))
-    scores = words.join(frequency, [*keys, "token"]).groupBy(*keys, "pos").agg(
+    # Merged by sort: both sides spill, and a token frequent in one large text is split at run time.
+    scores = words.join(frequency.hint("merge"), [*keys, "token"]).groupBy(*keys, "pos").agg(
         (F.sum(F.col("n") * F.col("tf")) / F.sum("n")).alias("score"), F.sum("n").alias("n_tokens"))
 
     best = Window.partitionBy(*keys).orderBy(F.desc("score"), "pos")
