@@ -9,6 +9,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 THRESHOLD = 0.35
 TOP = 10
@@ -53,12 +55,12 @@ def _small_matrix(topics: DataFrame) -> tuple[list, np.ndarray] | None:
     return table.column("topic").to_pylist(), _matrix(table.column("vector"))
 
 
-def _score_batches(sentences: DataFrame, names: list, unit: np.ndarray, threshold: float | None) -> DataFrame:
+def _score_batches(sentences: DataFrame, names: list, unit: np.ndarray, topic: T.DataType, threshold: float | None) -> DataFrame:
     """One matrix product per batch; emits hits only, or the best topic if `threshold` is None."""
     shared = sentences.sparkSession.sparkContext.broadcast((np.array(names, dtype=object), unit))
     keys = [f for f in sentences.schema.fields if f.name != "vector"]
-    topic_type = "string" if not names or isinstance(names[0], str) else "int"
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in keys] + [f"topic {topic_type}", "cosine double"])
+    schema = T.StructType([*keys, T.StructField("topic", topic), T.StructField("cosine", T.DoubleType())])
+    arrow_type = to_arrow_type(topic)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names_, unit_ = shared.value
@@ -74,7 +76,7 @@ def _score_batches(sentences: DataFrame, names: list, unit: np.ndarray, threshol
             else:
                 rows, cols = np.nonzero(cosines > threshold)
             out = [batch.column(f.name).take(pa.array(rows)) for f in keys]
-            out.append(pa.array(names_[cols].tolist(), pa.string() if topic_type == "string" else pa.int32()))
+            out.append(pa.array(names_[cols].tolist(), arrow_type))
             out.append(pa.array(cosines[rows, cols], pa.float64()))
             yield pa.RecordBatch.from_arrays(out, [f.name for f in keys] + ["topic", "cosine"])
 
@@ -116,21 +118,29 @@ def _score_blocks(sentences: DataFrame, topics: DataFrame, threshold: float) ->
     return left.groupBy("_block", "_group").cogroup(right.groupBy("_block", "_group")).applyInPandas(meet, schema)
 
 
+def _known(vectors: DataFrame) -> DataFrame:
+    return vectors.filter(F.col("vector").isNotNull())
+
+
 def match_topics(sentences: DataFrame, topics: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every sentence and topic whose cosine is above `threshold`, as `(keys, topic, cosine)`.
 
     Sentences have any key columns and `vector`; topics have `topic` and `vector`. Sentences
     stay where they are while the topics fit in `MAX_MATRIX_BYTES`.
     """
+    sentences, topics = _known(sentences), _known(topics)
     small = _small_matrix(topics)
-    return _score_blocks(sentences, topics, threshold) if small is None else _score_batches(sentences, *small, threshold)
+    if small is None:
+        return _score_blocks(sentences, topics, threshold)
+    return _score_batches(sentences, *small, topics.schema["topic"].dataType, threshold)
 
 
 def centroid_assign(sentences: DataFrame, topics: DataFrame) -> DataFrame:
     """The nearest topic of each sentence; ties go to the first topic."""
+    sentences, topics = _known(sentences), _known(topics)
     small = _small_matrix(topics)
     if small is not None:
-        return _score_batches(sentences, *small, None)
+        return _score_batches(sentences, *small, topics.schema["topic"].dataType, None)
     keys = [c for c in sentences.columns if c != "vector"]
     best = F.struct(-F.col("cosine"), F.col("topic"))
     hits = _score_blocks(sentences, topics, -2.0)

@@ -41,6 +41,12 @@ def test_threshold_is_strict_and_zero_vectors_match_nothing(spark):
     assert rows(topics.centroid_assign(sentences, names), "pos", "topic") == [(1, "x"), (3, "x")]
 
 
+def test_missing_vectors_and_long_topic_numbers(spark):
+    sentences = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "pos int, vector array<double>")
+    numbers = spark.createDataFrame([(1 << 40, [2.0, 0.0]), (7, None)], "topic long, vector array<double>")
+    assert rows(topics.match_topics(sentences, numbers)) == [(1, 1 << 40, 1.0)]
+
+
 def test_no_topics(spark, vectors):
     empty = spark.createDataFrame([], "topic string, vector array<double>")
     assert topics.match_topics(vectors[0], empty).count() == 0

@@ -9,7 +9,7 @@ SF_DIR = "/root/testdata/sf0.001"
 PYTHON = ("legacy_segments score_batches score_groups score_files flag_repetitive speech_chunks_limited match_topics top_topics "
           "topic_list centroid_assign primary_secondary softmax_scores join_stages call_report").split()
 NO_SHUFFLE = ("split_sentences split_periods filter_min_duration project_segment drop_silence sentence_sentiment "
-              "segment_sentiment_mode render_prompts parse_satisfaction format_timestamp load_taxonomy edit_free").split()
+              "segment_sentiment_mode render_prompts parse_satisfaction format_timestamp load_taxonomy").split()
 
 
 def plan_of(spark, name):
@@ -23,7 +23,7 @@ def test_no_python_and_no_cross_join(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", [n for n in NO_SHUFFLE if n in entry.queries()])
+@pytest.mark.parametrize("name", NO_SHUFFLE)
 def test_row_work_is_not_shuffled(spark, name):
     assert "Exchange" not in plan_of(spark, name)
 
