@@ -10,7 +10,7 @@ from catalog.fixtures import CALLS_SQL, WIDE_SQL, calls, wide_segments
 from catalog.registry import query, table, texts
 from parley.functions import audio, text, vectors
 from parley.operators import edits, filters, scoring, segments
-from parley.session import shared_dir
+from parley.session import shared_dir, spread
 from parley.sources import files, manifests, run_log, tables
 
 
@@ -356,7 +356,7 @@ SELECT call_id, count(*) AS sentences, count(*) FILTER (original <> corrected) A
   CAST(sum(len(list_distinct(list_filter(cs, lambda x: NOT list_contains(ws, x))))) AS BIGINT) AS words_added
 FROM e GROUP BY 1""")
 def _(spark, sf_dir):
-    return edits.edit_audit(calls(spark, sf_dir))
+    return edits.edit_audit(spread(calls(spark, sf_dir)))
 
 
 @query("score_batches", "SELECT doc_id, length(text) AS n_chars, length(text) // 100 AS score FROM documents")

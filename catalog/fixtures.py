@@ -10,6 +10,7 @@ from parley.functions.arrays import running_sums
 from parley.functions.text import pieces
 from parley.operators.ordered import MAX_GROUP_ROWS, is_hot, ordered
 from parley.operators.speech import SpeechOptions
+from parley.session import spread
 
 # Weights of words the invented texts contain.
 LEXICON = {"the": 1.0, "is": 0.5, "with": 1.0, "la": 0.5, "of": -1.0, "on": -0.5, "der": -1.0, "was": -0.5}
@@ -90,7 +91,7 @@ silence AS (SELECT *, CAST(sum(gap) OVER (PARTITION BY call_id ORDER BY start) A
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words `(call_id, segment_no, word_no, word, start, end)` of calls; a segment starts every 120 s."""
-    spoken = calls(spark, sf_dir).withColumn("_words", pieces(F.col("text")))
+    spoken = spread(calls(spark, sf_dir)).withColumn("_words", pieces(F.col("text")))
     ms = F.transform("_words", lambda w: F.when(F.length(w) % 7 == 0, 900).otherwise(F.length(w) * 40 - 40))
     spoken = spoken.withColumn("_ms", ms).withColumn("_ends", running_sums(F.col("_ms")))
     rows = spoken.select("call_id", "segment_no", F.posexplode(F.arrays_zip("_words", "_ms", "_ends")).alias("word_no", "_w"))
