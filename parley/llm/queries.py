@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parley.llm import bpe, exact, packing
-from parley.llm.common import table
+from parley.llm import bpe, exact, language, ngram, packing, warc
+from parley.llm.common import held_out, table
+from parley.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,11 +32,30 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_cross_parsing")
+def op1_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    samples = language.sample(docs.where(~held_out("doc_id", 4)))
+    told = language.identify(docs.select("doc_id", "text"), samples)
+    return told.select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score", "bits_per_letter")
+
+
 @query("op3_bpe_lexicon")
 def op3_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+@query("op4_boundary_chains", """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+         q AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n) END AS keep FROM p)
+    SELECT page_id, n AS payload_bytes, d AS payload_digest,
+           CASE WHEN page_id < keep THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id < keep THEN keep END AS refers_to
+    FROM q""")
+def op4_boundary_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid4().hex}")
+
+
 @query("op5_bin_slack_packing")
 def op5_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -45,3 +67,10 @@ def op5_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""")
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), largest=True)
+
+
+@query("op9_weighted_backoff")
+def op9_weighted_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = ngram.learn(docs.where(~held_out("doc_id", 7)))
+    return ngram.score(docs, model, counts).withColumn("held_out", held_out("doc_id", 7))
