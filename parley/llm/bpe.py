@@ -10,6 +10,7 @@ import tempfile
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -479,13 +480,10 @@ def ship_lexicon(docs: DataFrame, vocab_path: str, text_col: str = "text", words
     top = (word_counts(docs, text_col).where(F.octet_length("word").between(1, 255))
            .orderBy(F.desc("n"), "word").limit(words))
     found = sorted(row.word.encode() for row in top.collect())
-    made = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), "lexicon")
+    name = f"lexicon-{uuid4().hex}"  # Spark takes a name once
+    made = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     build_lexicon(found, vocabulary(vocab_path), made)
-    with open(made, "rb") as f:
-        name = f"lexicon-{hashlib.sha256(f.read()).hexdigest()[:24]}"
-    named = os.path.join(os.path.dirname(made), name)
-    os.rename(made, named)
-    spark.sparkContext.addFile(named)
+    spark.sparkContext.addFile(made)
     return name
 
 
