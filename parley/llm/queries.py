@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, exact, language, ngram, packing, warc
+from parley.llm import bpe, exact, language, links, ngram, order_minhash, packing, warc
 from parley.llm.common import held_out, table
 from parley.session import shared_dir
 
@@ -40,6 +40,15 @@ def op1_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score", "bits_per_letter")
 
 
+#: The rules that the contract of the query fixes.
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query("op2_link_trust")
+def op2_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 @query("op3_bpe_lexicon")
 def op3_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -74,3 +83,8 @@ def op9_weighted_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model, counts = ngram.learn(docs.where(~held_out("doc_id", 7)))
     return ngram.score(docs, model, counts).withColumn("held_out", held_out("doc_id", 7))
+
+
+@query("op10_order_minhash")
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_edits(table(spark, sf_dir, "documents"))
