@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, exact, language, links, ngram, order_minhash, packing, suffixes, warc
+from parley.llm import bpe, exact, jaccard, language, links, ngram, order_minhash, packing, suffixes, warc
 from parley.llm.common import held_out, table
 from parley.session import shared_dir
 
@@ -90,6 +90,11 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare_edits(table(spark, sf_dir, "documents"))
 
 
+@query("op7_chosen_paths")
+def op7_chosen_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_suffix_splitters")
 def op8_suffix_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
