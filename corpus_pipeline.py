@@ -5,23 +5,45 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parley.llm import exact, packing
+from parley.llm import exact, jaccard, language, packing, suffixes
+from parley.llm.common import held_out
 from parley.llm.queries import vocabulary_path
 from parley.session import shared_dir
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without text or without a letter go."""
+    samples = language.sample(docs.where(~held_out("doc_id", 4)))
+    told = language.identify(docs, samples)
+    return told.where(told["lang_pred"] != language.UNDETERMINED).select(*docs.columns)
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
     return exact.drop_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a shingle Jaccard of at least 0.8 the one with the smallest id stays."""
+    return jaccard.one_of_each_group(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that also start earlier are cut out of the texts; no document goes, and `n_chars` counts
+    what is left."""
+    cut = suffixes.remove_repeats(docs, keep_columns=True)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 1024 ids."""
     return packing.pack(docs, vocabulary_path())
 
 
-STAGES = [("exact dedup", exact_copies), ("packing", packed)]
+STAGES = [("language ID", known_language), ("exact dedup", exact_copies), ("n-gram Jaccard join", near_copies),
+          ("suffix-array dedup", repeated_passages), ("packing", packed)]
 
 #: No SQL expresses language models, sampled joins or tokenizers; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -278,3 +278,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.select("id", "digest").join(told, "digest", "left").select(
         F.col("id").alias(id_col), F.coalesce("first", "id").alias("class_id"), F.coalesce("group_id", "first", "id").alias("group_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("n", F.lit(1)) - 1).alias("n_links"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: of each linked group the one with the smallest id."""
+    told = near_duplicates(docs, id_col, text_col)
+    gone = told.where(~F.col(id_col).eqNullSafe(F.col("group_id"))).select(F.col(id_col).alias("__id")).distinct()
+    return docs.join(bounded(stored(gone, "gone")), F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
