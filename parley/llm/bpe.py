@@ -437,7 +437,7 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has about `limit` bytes of text, or one row."""
     import pyarrow.compute as pc
 

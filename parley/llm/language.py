@@ -44,37 +44,36 @@ def automaton(text: np.ndarray, kinds: int) -> np.ndarray:
     A walk follows the longest match. Where a letter doesn't continue it, the entry is the complement (below 0) of
     the state at which the next phrase begins with that letter; code `kinds` leaves the state as it is.
     """
-    arcs: list[dict[int, int]] = [{}]
-    link, length, last = [-1], [0], 0
+    table = np.full((2 * len(text) + 1, kinds + 1), -1, np.int32)
+    link, length, last, used = [-1], [0], 0, 1
     for c in text.tolist():
-        new = len(arcs)
-        arcs.append({})
+        new, column = used, table[:, c]
+        used += 1
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and c not in arcs[p]:
-            arcs[p][c] = new
+        while p >= 0 and column[p] < 0:
+            column[p] = new
             p = link[p]
         if p >= 0:
-            q = arcs[p][c]
+            q = int(column[p])
             if length[q] == length[p] + 1:
                 link[new] = q
             else:
-                twin = len(arcs)
-                arcs.append(dict(arcs[q]))
+                twin = used
+                used += 1
+                table[twin] = table[q]
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and arcs[p].get(c) == q:
-                    arcs[p][c] = twin
+                while p >= 0 and column[p] == q:
+                    column[p] = twin
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    table = np.full((len(arcs), kinds + 1), -1, np.int32)
-    sources = np.repeat(np.arange(len(arcs)), [len(a) for a in arcs])
-    table[sources, [c for a in arcs for c in a]] = [t for a in arcs for t in a.values()]
+    table = table[:used]
     again = ~np.maximum(table[0], 0)
     table = np.where(table < 0, again, table)
-    table[:, kinds] = np.arange(len(arcs))
+    table[:, kinds] = np.arange(used)
     return np.ascontiguousarray(table, np.int32)
 
 

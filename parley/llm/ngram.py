@@ -199,7 +199,7 @@ def _counted(rows: DataFrame, keys_of) -> DataFrame:
 
 
 def _few(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    found = counts.where(F.col("n") >= least).toPandas()
+    found = counts.where(F.col("n") >= least).toArrow()
     return found["key"].to_numpy(), found["n"].to_numpy()
 
 

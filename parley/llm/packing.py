@@ -135,7 +135,8 @@ def pack(docs: DataFrame, vocab_path: str, capacity: int = 1024, end_id: int = 0
              .withColumn("left", F.col("tokens") % capacity).withColumn("full", F.floor(F.col("tokens") / capacity))
              .withColumn("salt", F.pmod(F.xxhash64("id", "tokens", "rest"), F.lit(SALTS)).cast("int")))
     coded = stored(coded, "coded")
-    groups = coded.groupBy("left", "salt").agg(F.count("*").alias("n"), F.sum("full").alias("full")).toPandas()
+    groups = coded.groupBy("left", "salt").agg(F.count("*").alias("n"), F.sum("full").alias("full")).toArrow()
+    groups = {name: groups[name].to_numpy() for name in groups.column_names}
     counts, windows = np.zeros((capacity, SALTS), np.int64), np.zeros((capacity, SALTS), np.int64)
     counts[groups["left"], groups["salt"]] = groups["n"]
     windows[groups["left"], groups["salt"]] = groups["full"]

@@ -20,6 +20,8 @@ MATCH, LEAD = 100, 24
 SPAN = MATCH - LEAD + 1
 #: Anchor hashes that are broadcast (8 bytes each); more are joined.
 BROADCAST_HASHES = 4_000_000
+#: Bytes of text whose hashes are in memory at a time (some ten numbers for each), or one text.
+SLICE = 1_000_000
 #: Bits of a place in a batch of joined texts.
 PLACE_BITS = 28
 
@@ -58,7 +60,7 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _anchor_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for batch in slices(big, "text"):
+            for batch in slices(big, "text", SLICE):
                 _, keys = anchors(*utf8_batch(batch.column("text")))
                 keys, n = np.unique(keys, return_counts=True)
                 yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
@@ -89,12 +91,12 @@ def suffix_rows(texts: DataFrame, again: DataFrame) -> DataFrame:
     kind = texts.schema["id"].dataType.simpleString()
     schema = CONTEXT.format(kind=kind)
     if again.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES:
-        known = texts.sparkSession.sparkContext.broadcast(np.sort(again.toPandas()["key"].to_numpy()))
+        known = texts.sparkSession.sparkContext.broadcast(np.sort(again.toArrow()["key"].to_numpy()))
 
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             have = known.value
             for big in batches:
-                for batch in slices(big, "text"):
+                for batch in slices(big, "text", SLICE):
                     data, at = utf8_batch(batch.column("text"))
                     places, keys = anchors(data, at)
                     keys = keys.view(np.int64)
@@ -106,7 +108,7 @@ def suffix_rows(texts: DataFrame, again: DataFrame) -> DataFrame:
 
     def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for batch in slices(big, "text"):
+            for batch in slices(big, "text", SLICE):
                 data, at = utf8_batch(batch.column("text"))
                 places, keys = anchors(data, at)
                 owner = np.searchsorted(at, places, side="right") - 1
@@ -114,7 +116,7 @@ def suffix_rows(texts: DataFrame, again: DataFrame) -> DataFrame:
 
     def at_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for batch in slices(big, "text"):
+            for batch in slices(big, "text", SLICE):
                 data, at = utf8_batch(batch.column("text"))
                 places = [p + lo for lo, own in zip(at.tolist(), batch.column("places").to_pylist()) for p in sorted(own)]
                 yield _contexts(data, at, np.array(places, np.int64), batch.column("id"), batch.column("digest"))
