@@ -52,7 +52,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     counts = np.where(n >= WORDS, n - WORDS + 1, np.minimum(n, 1))
     full = np.zeros(len(words), np.uint64)
     for j in range(WORDS):
-        full[:len(words) - j] += words[j:] * np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
+        full[:max(len(words) - j, 0)] += words[j:] * np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
     short = np.flatnonzero((n > 0) & (n < WORDS))
     full[first[short]] = run_hashes(words, first[short], first[short + 1])
     owner = np.repeat(np.arange(len(n)), counts)

@@ -235,7 +235,7 @@ def repeated_spans(texts: DataFrame, parts: int | None = None) -> DataFrame:
     kind = texts.schema["id"].dataType.simpleString()
     again = stored(_anchor_counts(texts).where("n > 1").select("key"), "again")
     found = stored(suffix_rows(texts, again).withColumn("suffix", F.expr(f"substring(context, lead + 1, {LEAD})")), "suffixes")
-    parts = parts or int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a bucket is held in memory
     dealt = found.repartitionByRange(parts, "suffix", "id", "digest", "place").drop("suffix")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
