@@ -10,12 +10,10 @@ from parley.functions.text import words
 from parley.operators import responses, segments, sentiment, summary, topics
 from parley.plans import calls as plans
 
-DIM = 64
-
 
 def _topics(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select(F.col("label").alias("topic"), F.col("embedding").alias("vector"))
-    return topics.topic_centroids(vectors, dim=DIM)
+    return topics.topic_centroids(vectors)
 
 
 def _sentences(spark, sf_dir):

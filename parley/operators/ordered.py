@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,7 +59,11 @@ class Ordered:
         blocks = rows.groupBy(*self.keys, BLOCK).agg(*[c.alias(f"_s_{n}") for n, c in summary.items()])
         blocks = blocks.select(*self.keys, BLOCK,
                                *[carry(F.col(f"_s_{n}"), window).alias(f"_c_{n}") for n in summary])
-        return rows.join(blocks, [*self.keys, BLOCK])
+        # Keys and blocks may be null: rows without a key belong together, rows without a position come first.
+        same = [*self.keys, BLOCK]
+        blocks = blocks.withColumnsRenamed({k: f"_k_{k}" for k in same})
+        matched = reduce(and_, (rows[k].eqNullSafe(blocks[f"_k_{k}"]) for k in same))
+        return rows.join(blocks, matched).drop(*(f"_k_{k}" for k in same))
 
     def _finish(self, df: DataFrame, names) -> Ordered:
         drop = [f"{p}{n}" for n in names for p in ("_c_", "_l_")]
@@ -72,7 +78,9 @@ class Ordered:
             cut(self.df), {n: F.sum(v) for n, v in values.items()},
             lambda c, w: F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)))
         rows = rows.withColumns({f"_l_{n}": F.sum(v).over(window) for n, v in values.items()})
-        rows = rows.withColumns({n: F.col(f"_l_{n}") + F.coalesce(f"_c_{n}", F.lit(0)) for n in values})
+        # A sum is null until the first value; a null addend changes nothing.
+        rows = rows.withColumns({n: F.when(F.col(f"_l_{n}").isNull(), F.col(f"_c_{n}")).otherwise(
+            F.col(f"_l_{n}") + F.coalesce(f"_c_{n}", F.lit(0))) for n in values})
         return self._finish(rows, values)
 
     def number(self, name: str) -> Ordered:
@@ -135,7 +143,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Col
 
     `block` must not decrease along the order, and one block must stay small enough for a task.
     `hot=None` checks the largest key; pass the answer on to skip repeated checks.
-    Keys must not be null.
+    Rows with a null key belong together; a null position comes first.
     """
     hot = is_hot(df, keys) if hot is None else hot
     return Ordered(df.withColumn(BLOCK, block) if hot else df, tuple(keys), tuple(order), hot)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,54 +107,77 @@ def _numbered(chunks: DataFrame, options: SpeechOptions, hot: bool) -> DataFrame
     return rows.select(CALL, (F.col("_nth") - 1).alias("chunk_no"), "start", "end")
 
 
-def _walker(options: SpeechOptions) -> Callable[[tuple, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Chunks of one stretch, from its frames in order; the last `end` is null if speech goes on."""
-    split = 98 * options.rate // 1000
-    window, low, high = options.window, options.low, options.threshold
-    longest, silence = options.max_speech_samples, options.samples(options.min_silence_ms)
-    shortest = options.samples(options.min_speech_ms)
+def _first(values: np.ndarray, at: float, side: str = "left") -> int | None:
+    """The first of sorted values from `at` on, or behind it with side "right"."""
+    i = int(np.searchsorted(values, at, side))
+    return int(values[i]) if i < len(values) else None
+
+
+def _before(value: int | None, limit: int | None) -> bool:
+    return value is not None and (limit is None or value < limit)
+
 
+def _limited(at: np.ndarray, prob: np.ndarray, options: SpeechOptions) -> list[tuple[int, int | None]]:
+    """Chunks of one stretch from its runs of speech and pauses; the last end is None if speech goes on.
+
+    A chunk runs from a first speech frame up to a pause that lasts the minimum silence, or until it is too long.
+    Then it ends where its last pause of over 98 ms began, and the next one begins with the speech after that pause;
+    without such a pause it ends where it is found too long. Pauses before that point don't count for the next one.
+    """
+    split, silence = 98 * options.rate // 1000, options.samples(options.min_silence_ms)
+    talk, still = at[prob >= options.threshold], at[prob < options.low]
+    chunks: list[tuple[int, int | None]] = []
+    begin = _first(talk, -np.inf)
+    look = None  # pauses count from here on; by default, from behind the chunk's first frame
+    while begin is not None:
+        over = _first(at, begin + options.max_speech_samples, "right")
+        pause = _first(still, begin, "right") if look is None else _first(still, look)
+        cut = closed = None
+        while closed is None and _before(pause, over):
+            back = _first(talk, pause)  # speech that ends the pause
+            stop = back if _before(back, over) else over
+            lasting = _first(still, pause + silence)
+            if _before(lasting, stop):
+                closed = lasting
+            else:
+                cut = pause if _before(_first(still, pause + split, "right"), stop) else cut
+                pause = None if back is None else _first(still, back)
+        look = None
+        if closed is not None:
+            if pause - begin > options.samples(options.min_speech_ms):
+                chunks.append((begin, pause))
+            begin = _first(talk, closed, "right")
+        elif over is None:
+            chunks.append((begin, None))
+            begin = None
+        else:
+            chunks.append((begin, over if cut is None else cut))
+            back = None if cut is None else _first(talk, cut)
+            if back is not None and back <= over:
+                begin, look = back, over
+            else:
+                begin = _first(talk, over, "right")
+    return chunks
+
+
+def _walker(options: SpeechOptions) -> Callable[[tuple, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Chunks of one stretch, of whose frames time and probability are held: some 16 bytes each."""
     def walk(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        begin = quiet = cut_at = resume = None  # open chunk, start of the pause, cut candidate, speech after it
-        for batch in batches:
-            found = []
-            for at, prob in zip(batch["at"] * window, batch["prob"]):
-                at, speech = int(at), prob >= high
-                if speech and quiet is not None:
-                    quiet = None
-                    if cut_at is not None and (resume is None or resume < cut_at):
-                        resume = at
-                if begin is None:
-                    begin = at if speech else None
-                    continue
-                if at - begin > longest:
-                    found.append((begin, at if cut_at is None else cut_at, True))
-                    begin = resume if cut_at is not None and resume is not None and resume >= cut_at else None
-                    hard, cut_at, resume, quiet = cut_at is None, None, None, None
-                    if hard or begin is None:
-                        continue
-                if prob < low:
-                    quiet = at if quiet is None else quiet
-                    if at - quiet > split:
-                        cut_at = quiet
-                    if at - quiet >= silence:
-                        found.append((begin, quiet, quiet - begin > shortest))
-                        begin = quiet = cut_at = resume = None
-            if found:
-                yield pd.DataFrame([(key[0], key[1], b, e) for b, e, keep in found if keep],
-                                   columns=[CALL, "stretch", "start", "end"])
-        if begin is not None:
-            yield pd.DataFrame({CALL: [key[0]], "stretch": [key[1]], "start": [begin], "end": [None]})
+        held = [(batch["at"].to_numpy(np.int64) * options.window, batch["prob"].to_numpy(float)) for batch in batches]
+        at, prob = (np.concatenate(x) for x in zip(*held))
+        found = _limited(at, prob, options)
+        if found:
+            yield pd.DataFrame([(key[0], key[1], start, end) for start, end in found], columns=[CALL, "stretch", "start", "end"])
 
     return walk
 
 
 def _limited_chunks(frames: DataFrame, options: SpeechOptions, lengths: DataFrame | None, hot: bool) -> DataFrame:
-    """Chunks under a maximum length, decided frame by frame.
+    """Chunks under a maximum length, from runs of speech and pauses.
 
     After a pause of the minimum silence plus the 98 ms at which a cut may restart the count,
     the decision holds no memory. Such pauses split a call into stretches, and each stretch is
-    walked on its own, in order, over bounded batches.
+    cut on its own.
     """
     lengths = audio_lengths(frames, options) if lengths is None else lengths
     split = 98 * options.rate // 1000

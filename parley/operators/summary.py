@@ -31,7 +31,7 @@ def extractive_summary(df: DataFrame, keys: list[str], text: str = "text", max_t
     kept whole, without a shuffle. In the others at most `max_tokens` sentences can fit, so
     the ranking keeps that many per text before it leaves the map tasks.
     """
-    short = _has_at_most(F.col(text), whole_tokens)
+    short = F.coalesce(_has_at_most(F.col(text), whole_tokens), F.lit(True))  # a null text takes the default
     rows = df.select(*keys, text)
     whole = rows.filter(short).select(*keys, status_default(F.col(text), NO_SUMMARY).alias("summary"))
 
@@ -54,7 +54,9 @@ def extractive_summary(df: DataFrame, keys: list[str], text: str = "text", max_t
 
 def summary_by_chunk(df: DataFrame, key: str, text: str = "text", chunk_tokens: int = 1000,
                      max_tokens: int = MAX_TOKENS, whole_tokens: int = WHOLE_TOKENS) -> DataFrame:
-    """Summaries of fixed chunks of a text, joined in order."""
+    """Summaries of fixed chunks of a text, joined in order; a text without tokens takes the default."""
     chunks = fixed_token_chunks(df.select(key, text), chunk_tokens, text).withColumnRenamed("chunk", text)
     parts = extractive_summary(chunks, [key, "chunk_no"], text, max_tokens, whole_tokens)
-    return parts.groupBy(key).agg(F.expr("listagg(summary, ' ') WITHIN GROUP (ORDER BY chunk_no)").alias("summary"))
+    joined = parts.groupBy(key).agg(F.expr("listagg(summary, ' ') WITHIN GROUP (ORDER BY chunk_no)").alias("summary"))
+    without = df.filter(F.coalesce(_has_at_most(F.col(text), 0), F.lit(True)))
+    return joined.unionByName(without.select(key, F.lit(NO_SUMMARY).alias("summary")))

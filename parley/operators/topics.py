@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from parley.session import cut
+
 THRESHOLD = 0.35
 TOP = 10
 # Topic vectors are sent to every task only if proven to stay within these bounds.
@@ -26,8 +28,12 @@ MAX_WIDE_DIM = 128
 def topic_centroids(phrases: DataFrame, topic: str = "topic", vector: str = "vector", dim: int | None = None) -> DataFrame:
     """Mean of all phrase vectors of a topic, combined before the shuffle.
 
-    With `dim` given, every dimension is an aggregate of its own and no vector is taken apart.
+    With `dim` given, only vectors of that length count; every dimension is an aggregate of its own and no vector is
+    taken apart. Null vectors count for nothing.
     """
+    phrases = phrases.filter(F.col(vector).isNotNull())
+    if dim is not None:
+        phrases = phrases.filter(F.size(vector) == dim)
     if dim is not None and dim <= MAX_WIDE_DIM:
         means = phrases.groupBy(topic).agg(*[F.avg(F.get(vector, F.lit(i))).alias(f"_{i}") for i in range(dim)])
         return means.select(topic, F.array(*[f"_{i}" for i in range(dim)]).alias(vector))
@@ -83,8 +89,8 @@ def _score_batches(sentences: DataFrame, names: list, unit: np.ndarray, topic: T
     return sentences.mapInArrow(score, schema)
 
 
-def _score_blocks(sentences: DataFrame, topics: DataFrame, threshold: float) -> DataFrame:
-    """The same hits for topics of any number.
+def _score_blocks(sentences: DataFrame, topics: DataFrame, threshold: float | None) -> DataFrame:
+    """The same hits for topics of any number; without a threshold, the best topic of each block.
 
     Topics are dealt into blocks and sentences into groups, both of bounded size; each pair of
     a block and a group meets in one task, which holds only those two.
@@ -110,16 +116,25 @@ def _score_blocks(sentences: DataFrame, topics: DataFrame, threshold: float) ->
     def meet(group: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if group.empty or block.empty:
             return pd.DataFrame(columns=[*names, "topic", "cosine"])
+        block = block.sort_values("topic")
         cosines = unit(group["vector"]) @ unit(block["vector"]).T
-        rows, cols = np.nonzero(cosines > threshold)
+        if threshold is None:
+            rows = np.flatnonzero(~np.isnan(cosines).all(axis=1))
+            cols = np.nanargmax(cosines[rows], axis=1) if len(rows) else rows
+        else:
+            rows, cols = np.nonzero(cosines > threshold)
         out = group[names].iloc[rows].reset_index(drop=True)
         return out.assign(topic=block["topic"].to_numpy()[cols], cosine=cosines[rows, cols])
 
     return left.groupBy("_block", "_group").cogroup(right.groupBy("_block", "_group")).applyInPandas(meet, schema)
 
 
-def _known(vectors: DataFrame) -> DataFrame:
-    return vectors.filter(F.col("vector").isNotNull())
+def _known(sentences: DataFrame, topics: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vectors of the length that most topics have; others have no cosine with them and match nothing."""
+    size = F.size("vector")
+    dim = topics.filter(F.col("vector").isNotNull()).agg(F.mode(size, True)).first()[0]
+    fits = F.lit(False) if dim is None else F.coalesce(size == dim, F.lit(False))
+    return sentences.filter(fits), topics.filter(fits)
 
 
 def match_topics(sentences: DataFrame, topics: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -128,7 +143,7 @@ def match_topics(sentences: DataFrame, topics: DataFrame, threshold: float = THR
     Sentences have any key columns and `vector`; topics have `topic` and `vector`. Sentences
     stay where they are while the topics fit in `MAX_MATRIX_BYTES`.
     """
-    sentences, topics = _known(sentences), _known(topics)
+    sentences, topics = _known(sentences, topics)
     small = _small_matrix(topics)
     if small is None:
         return _score_blocks(sentences, topics, threshold)
@@ -137,14 +152,17 @@ def match_topics(sentences: DataFrame, topics: DataFrame, threshold: float = THR
 
 def centroid_assign(sentences: DataFrame, topics: DataFrame) -> DataFrame:
     """The nearest topic of each sentence; ties go to the first topic."""
-    sentences, topics = _known(sentences), _known(topics)
+    sentences, topics = _known(sentences, topics)
     small = _small_matrix(topics)
     if small is not None:
         return _score_batches(sentences, *small, topics.schema["topic"].dataType, None)
     keys = [c for c in sentences.columns if c != "vector"]
-    best = F.struct(-F.col("cosine"), F.col("topic"))
-    hits = _score_blocks(sentences, topics, -2.0)
-    return hits.groupBy(*keys).agg(F.min_by("topic", best).alias("topic"), F.max("cosine").alias("cosine"))
+    winner = F.struct(-F.col("cosine"), F.col("topic"))
+    # Equal keys are rows of their own; the stored numbers stay the same when a task is run again.
+    numbered = cut(sentences.withColumn("_row", F.monotonically_increasing_id()))
+    winners = _score_blocks(numbered, topics, None)
+    found = winners.groupBy("_row", *keys).agg(F.min_by("topic", winner).alias("topic"), F.max("cosine").alias("cosine"))
+    return found.drop("_row")
 
 
 def top_topics(hits: DataFrame, call: str = "call_id", position: str = "pos", n: int = TOP) -> DataFrame:
@@ -174,9 +192,13 @@ def primary_secondary(scores: DataFrame, call: str = "call_id", score: str = "sc
 
 
 def softmax_scores(scores: DataFrame, call: str = "call_id", score: str = "score") -> DataFrame:
-    """Scores of a call's topics as probabilities that add up to one."""
-    totals = scores.groupBy(call).agg(F.sum(F.exp(score)).alias("_total"))
-    return scores.join(totals, call).withColumn("probability", F.exp(score) / F.col("_total")).drop("_total")
+    """Scores of a call's topics as probabilities that add up to one; rows without a call belong together.
+
+    The largest score of a call is taken off first, so no exponential overflows, and the scores are read once.
+    """
+    own = Window.partitionBy(call)
+    shifted = scores.withColumn("_exp", F.exp(F.col(score) - F.max(score).over(own)))
+    return shifted.withColumn("probability", F.col("_exp") / F.sum("_exp").over(own)).drop("_exp")
 
 
 def detect_language(scores: DataFrame, call: str = "call_id") -> DataFrame:

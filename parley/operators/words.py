@@ -123,7 +123,8 @@ def fix_segment_boundaries(segments: DataFrame, words: DataFrame, hot: bool | No
     follows a pause depends on the end of the one before, which depends on whether that one
     did: a chain of yes/no decisions. Both ends of each segment are computed, which makes a
     segment either settle its successor's answer, pass its own on, or pass on the opposite.
-    The answer is then the last settled one, flipped once per opposite since.
+    The answer is then the last settled one, flipped once per opposite since. Segments without
+    words keep their bounds and are passed over: a pause counts from the last word spoken.
     """
     keys = ["call_id", "segment_no"]
     hot = is_hot(segments, ["call_id"]) if hot is None else hot
@@ -154,8 +155,11 @@ def fix_segment_boundaries(segments: DataFrame, words: DataFrame, hot: bool | No
     odd = (F.col("_flips") - F.col("_settled.flips")) % 2 == 1
     paused = F.col("_settled.answer") != odd
     chosen = F.when(paused, F.col("_yes")).otherwise(F.col("_no"))
-    return line.rows().select(*[c for c in segments.columns if c not in ("start", "end")],
-                              "n_words", paused.alias("after_pause"), chosen.alias("_c")).select("*", "_c.*").drop("_c")
+    fixed = line.rows().select(*[c for c in segments.columns if c not in ("start", "end")],
+                               "n_words", paused.alias("after_pause"), chosen.alias("_c")).select("*", "_c.*").drop("_c")
+    wordless = segments.join(words.select(*keys).distinct(), keys, "left_anti").withColumns(
+        {"n_words": F.lit(0).cast(fixed.schema["n_words"].dataType), "after_pause": F.lit(False)})
+    return fixed.unionByName(wordless, allowMissingColumns=True)
 
 
 def apply_boundaries(words: DataFrame, fixed: DataFrame) -> DataFrame:

@@ -43,13 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out rows that come from fewer files than there are cores.
+    """Deal out rows that the reader leaves in fewer splits than there are cores.
 
-    For costly work per row on a small input, whose one file would be one task. An input of
-    many files is left as it is, so nothing is shuffled at scale.
+    For costly work per row on a small input, such as one file of one row group, which no
+    setting of the reader can split. The planned splits are counted, not files, and no file is
+    listed here; an input with a split for every core is left as it is and not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def cut(df: DataFrame) -> DataFrame:

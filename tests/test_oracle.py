@@ -6,7 +6,7 @@ from oracle import compare, connect
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = {k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}, {k: q for k, q in entry.oracle_sql().items() if k not in entry.LLM_ORACLES}
 
 
 @pytest.fixture(scope="module")

@@ -13,10 +13,10 @@ NO_SHUFFLE = ("split_sentences split_periods filter_min_duration project_segment
 
 
 def plan_of(spark, name):
-    return entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return {k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(PYTHON) - {"table_feather"}))
+@pytest.mark.parametrize("name", sorted(set({k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}) - set(PYTHON) - {"table_feather"}))
 def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(spark, name)
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
@@ -32,7 +32,7 @@ def test_row_work_is_not_shuffled(spark, name):
     ("filter_date_range", "GreaterThanOrEqual(ts"), ("speech_chunks", "ReadSchema: struct<event_id:bigint,ts:timestamp"),
 ])
 def test_scans_are_pruned(spark, name, pushed):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = {k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}[name](spark, SF_DIR)
     plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert pushed in plan and "props" not in plan
 
