@@ -18,7 +18,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import distinct, ranges, text_of, tile_hashes
+from parley.llm.common import distinct, ranges, resident, text_of, tile_hashes
 
 #: Classes of characters by which text is split before merging.
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -306,11 +306,6 @@ def build_lexicon(words: list[bytes], vocab: Vocabulary, path: str) -> None:
             f.write(part.astype(np.int32).tobytes())
 
 
-@lru_cache(2)
-def mapped(path: str) -> Lexicon:
-    return Lexicon(path)
-
-
 def utf8_of(points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """UTF-8 bytes of joined words given by their characters; where each word starts and how many bytes it has."""
     if not len(sizes):
@@ -423,14 +418,10 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
 
 
-@lru_cache(2)
-def _encoder(vocab_path: str, lexicon_file: str | None) -> Encoder:
-    return Encoder(vocabulary(vocab_path), mapped(SparkFiles.get(lexicon_file)) if lexicon_file else None)
-
-
 def encoder(vocab_path: str, lexicon_file: str | None = None) -> Encoder:
-    """The task's encoder; `lexicon_file` is a name that `ship_lexicon` gave."""
-    return _encoder(vocab_path, lexicon_file)
+    """The worker's encoder; `lexicon_file` is a name that `ship_lexicon` gave."""
+    return resident(("encoder", vocab_path, lexicon_file), lambda: Encoder(
+        Vocabulary(vocab_path), Lexicon(SparkFiles.get(lexicon_file)) if lexicon_file else None))
 
 
 def texts_of(column: pa.Array) -> list[str]:

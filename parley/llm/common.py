@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable
+from typing import Any
 from uuid import uuid4
 
 import numpy as np
@@ -14,6 +16,31 @@ from parley.session import shared_dir
 BROADCAST_ROWS = 200_000
 
 
+#: Rows of text that go to Python at a time, and their bytes; the JVM and the worker both hold such a batch.
+ARROW_ROWS, ARROW_BYTES = 2_000, 8 << 20
+
+_RESIDENT: dict[Hashable, Any] = {}
+
+
+def resident(key: Hashable, make: Callable[[], Any]) -> Any:
+    """The one large object that a Python worker keeps from task to task; asking for another lets go of the last."""
+    if key not in _RESIDENT:
+        let_go()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def let_go() -> None:
+    """Free what an earlier operator left in this worker; workers outlive stages."""
+    _RESIDENT.clear()
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of text of this session's Python stages."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write `df` as a table in the cluster's shared folder and read it back.
 

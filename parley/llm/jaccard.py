@@ -14,7 +14,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from parley.llm.bpe import slices
 from parley.llm.classes import classes, components
-from parley.llm.common import blank_words, bounded, mix, run_hashes, stored, utf8_batch
+from parley.llm.common import blank_words, bounded, let_go, mix, run_hashes, small_batches, stored, utf8_batch
 
 #: Words of a shingle, and the similarity of a link.
 WORDS, LEAST = 5, 0.8
@@ -75,6 +75,7 @@ def _paths(texts: DataFrame, count: int) -> DataFrame:
     names = [f"t{k + 1}" for k in range(LEVELS)]
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for big in batches:
             for batch in slices(big, "text"):
                 shingles, at = shingle_sets(*utf8_batch(batch.column("text")))
@@ -192,6 +193,7 @@ def _sets(texts: DataFrame) -> DataFrame:
     others = [n for n in texts.columns if n != "text"]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for big in batches:
             for batch in slices(big, "text"):
                 shingles, at = shingle_sets(*utf8_batch(batch.column("text")))
@@ -256,6 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingle. Null ids never name a class that has another id; repeated rows count as copies. An empty table gives an
     empty result; further columns are ignored.
     """
+    small_batches(docs.sparkSession)
     rows, again, texts = classes(docs, id_col, text_col)
     paths = stored(_paths(texts, runs()), "paths")
     sketches = paths.where("run = 0").select("digest", "size", "sketch")

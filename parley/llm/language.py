@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from parley.llm.bpe import LETTER, char_classes, slices, texts_of
-from parley.llm.common import text_of
+from parley.llm.common import resident, small_batches, text_of
 
 #: Bounds of the labelled sample: languages, documents of each, characters of each document, letters of all together.
 MAX_LANGUAGES, DOCUMENTS, DOCUMENT_CHARS, LETTERS = 64, 100, 2_000, 160_000
@@ -121,9 +120,9 @@ class Parser:
         return out, sizes
 
 
-@lru_cache(1)
 def _parser(samples: tuple) -> Parser:
-    return Parser({lang: list(texts) for lang, texts in samples})
+    """The worker's parser."""
+    return resident(("parser", samples), lambda: Parser({lang: list(texts) for lang, texts in samples}))
 
 
 def sample(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple:
@@ -174,6 +173,7 @@ def identify(docs: DataFrame, samples: tuple, id_col: str = "doc_id", text_col:
                 kept = [n for n in batch.schema.names if n not in added]
                 yield pa.record_batch([*(batch.column(n) for n in kept), pa.array(told, pa.string()), pa.array(scores), rate], [*kept, *added])
 
+    small_batches(docs.sparkSession)
     rows = docs.drop(*added)
     return rows.mapInArrow(run, StructType([*rows.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                                             StructField("bits_per_letter", DoubleType())]))

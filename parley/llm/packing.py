@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.bpe import encoder, slices, texts_of
-from parley.llm.common import stored, text_of
+from parley.llm.common import small_batches, stored, text_of
 
 #: Parts into which the documents of one remaining length are dealt before they are numbered.
 SALTS = 64
@@ -129,6 +129,7 @@ def pack(docs: DataFrame, vocab_path: str, capacity: int = 1024, end_id: int = 0
                 yield pa.record_batch([batch.column("id"), pa.array(totals, pa.int64()), pa.array(sums, pa.list_(pa.int64())), pa.array(rests, pa.binary())],
                                       ["id", "tokens", "sums", "rest"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     coded = (rows.mapInArrow(encode, f"id {kind}, tokens long, sums array<long>, rest binary")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from parley.llm.bpe import slices
 from parley.llm.classes import classes
-from parley.llm.common import bounded, mix, stored, utf8_batch
+from parley.llm.common import let_go, mix, small_batches, stored, utf8_batch
 
 #: Bytes of a repeated string, and leading bytes by which suffixes are grouped (three words of eight bytes).
 MATCH, LEAD = 100, 24
@@ -59,6 +59,7 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _anchor_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for big in batches:
             for batch in slices(big, "text", SLICE):
                 _, keys = anchors(*utf8_batch(batch.column("text")))
@@ -94,6 +95,7 @@ def suffix_rows(texts: DataFrame, again: DataFrame) -> DataFrame:
         known = texts.sparkSession.sparkContext.broadcast(np.sort(again.toArrow()["key"].to_numpy()))
 
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             have = known.value
             for big in batches:
                 for batch in slices(big, "text", SLICE):
@@ -107,6 +109,7 @@ def suffix_rows(texts: DataFrame, again: DataFrame) -> DataFrame:
         return texts.select("id", "digest", "text").mapInArrow(pick, schema)
 
     def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for big in batches:
             for batch in slices(big, "text", SLICE):
                 data, at = utf8_batch(batch.column("text"))
@@ -115,6 +118,7 @@ def suffix_rows(texts: DataFrame, again: DataFrame) -> DataFrame:
                 yield pa.record_batch([batch.column("digest").take(pa.array(owner)), pa.array(places - at[owner]), pa.array(keys.view(np.int64))], ["digest", "place", "key"])
 
     def at_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for big in batches:
             for batch in slices(big, "text", SLICE):
                 data, at = utf8_batch(batch.column("text"))
@@ -239,6 +243,7 @@ def repeated_spans(texts: DataFrame, parts: int | None = None) -> DataFrame:
     dealt = found.repartitionByRange(parts, "suffix", "id", "digest", "place").drop("suffix")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held = list(batches)
         if held:
             table = pa.Table.from_batches(held).combine_chunks()
@@ -284,6 +289,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows that repeat id and text are treated alike, so none of them removes the other; further columns are ignored or
     kept; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     rows, again, texts = classes(docs, id_col, text_col)
     spans = repeated_spans(texts).groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     marks = stored(again.select("digest", "first", F.lit(True).alias("copied")).join(spans, "digest", "full"), "marks")
@@ -295,6 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text, columns = (text_col if keep_columns else "text"), docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts_, spans_, later_ = (batch.column(n).to_pylist() for n in (text, "spans", "later"))
             out = []
