@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import pyarrow as pa
 from pyarrow import fs, ipc
@@ -25,7 +26,8 @@ def _files(path: str) -> tuple[fs.FileSystem, list[str]]:
     if system.get_file_info(root).type == fs.FileType.File:
         return system, [root]
     found = system.get_file_info(fs.FileSelector(root, recursive=True))
-    return system, sorted(f.path for f in found if f.path.endswith(SUFFIX))
+    # Below the root, names that start with an underscore are work that is not committed.
+    return system, sorted(f.path for f in found if f.path.endswith(SUFFIX) and "/_" not in f.path[len(root.rstrip("/")):])
 
 
 @dataclass
@@ -49,7 +51,9 @@ class FeatherReader(DataSourceReader):
             parts += [BatchRange(name, i, min(i + BATCHES_PER_TASK, n)) for i in range(0, n, BATCHES_PER_TASK)]
         return parts
 
-    def read(self, partition: BatchRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: BatchRange | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no batches at all
+            return
         system, _ = _open(self.path)
         with system.open_input_file(partition.file) as f:
             reader = ipc.open_file(f)
@@ -64,10 +68,11 @@ class Written(WriterCommitMessage):
 
 
 class FeatherWriter(DataSourceArrowWriter):
-    """Each task writes files of its own under a staging folder; the commit moves them into place."""
+    """Each task writes files of its own under the job's staging folder; the commit moves them into place."""
 
     def __init__(self, path: str, schema: pa.Schema, overwrite: bool):
         self.path, self.schema, self.overwrite = path, schema, overwrite
+        self.job = uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
@@ -75,9 +80,10 @@ class FeatherWriter(DataSourceArrowWriter):
         task = TaskContext.get()
         system, root = _open(self.path)
         # The attempt number keeps a retried or speculative task away from the files of another.
-        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}{SUFFIX}"
-        system.create_dir(f"{root}/_staging", recursive=True)
-        staged = f"{root}/_staging/{name}"
+        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{self.job}{SUFFIX}"
+        staging = f"{root}/_staging-{self.job}"
+        system.create_dir(staging, recursive=True)
+        staged = f"{staging}/{name}"
         with system.open_output_stream(staged) as f, ipc.new_file(f, self.schema) as out:
             for batch in iterator:
                 out.write_table(pa.Table.from_batches([batch]).cast(self.schema), max_chunksize=WRITE_ROWS)
@@ -92,12 +98,16 @@ class FeatherWriter(DataSourceArrowWriter):
                 system.delete_file(name)
         for m in done:
             system.move(m.staged, m.final)
-        system.delete_dir(f"{root}/_staging")
+        self._clear()
 
     def abort(self, messages: list[Written]) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
         system, root = _open(self.path)
-        if system.get_file_info(f"{root}/_staging").type == fs.FileType.Directory:
-            system.delete_dir(f"{root}/_staging")
+        staging = f"{root}/_staging-{self.job}"
+        if system.get_file_info(staging).type == fs.FileType.Directory:
+            system.delete_dir(staging)
 
 
 class FeatherDataSource(DataSource):

@@ -154,3 +154,20 @@ def test_files_are_scored(spark, tmp_path):
     listed = files.list_files(spark, str(tmp_path)).select("path", "length")
     found = scoring.score_files(listed, lambda: None, lambda m, b: b[["length"]], "length long", 3)
     assert sorted(r[0] for r in found.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_feather_skips_staged_files_and_reads_an_empty_table(spark, tmp_path):
+    from parley.sources.feather import FeatherDataSource
+
+    spark.dataSource.register(FeatherDataSource)
+    path = str(tmp_path / "table")
+    for _ in range(2):
+        spark.range(3).coalesce(1).write.format("feather").mode("append").save(path)
+    committed = sorted((tmp_path / "table").iterdir())
+    assert len(committed) == 2 and all(f.is_file() for f in committed)
+    (tmp_path / "table" / "_staging-other").mkdir()
+    (tmp_path / "table" / "_staging-other" / committed[0].name).write_bytes(committed[0].read_bytes())
+    assert spark.read.format("feather").load(path).count() == 6
+    empty = str(tmp_path / "empty")
+    spark.range(3).where("id > 5").coalesce(1).write.format("feather").mode("append").save(empty)
+    assert spark.read.format("feather").load(empty).collect() == []
