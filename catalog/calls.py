@@ -273,11 +273,12 @@ def _(spark, sf_dir):
 @query("pcm_to_float", """
 WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(trunc(x::DOUBLE * 32767) AS SMALLINT)) AS s FROM embeddings),
 u AS (SELECT vec_id, unnest(s) AS s, unnest(range(len(s))) AS i FROM s)
-SELECT vec_id, i // 2 AS pos, round(s / 32768.0::DOUBLE, 6) AS sample FROM u WHERE i % 2 = 1""")
+SELECT vec_id, i % 2 AS channel, i // 2 AS pos, round(s / 32768.0::DOUBLE, 6) AS sample FROM u""")
 def _(spark, sf_dir):
     samples = F.transform("embedding", lambda x: (x.cast("double") * 32767).cast("smallint"))
-    right = audio.channel(audio.pcm_to_float(samples), 1)
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(right).alias("pos", "sample"))
+    both = F.transform(F.array(F.lit(0), F.lit(1)), lambda n: audio.channel(audio.pcm_to_float(samples), n))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(both).alias("channel", "_c"))
+    rows = rows.select("vec_id", "channel", F.posexplode("_c").alias("pos", "sample"))
     return rows.withColumn("sample", F.round(F.col("sample").cast("double"), 6))
 
 

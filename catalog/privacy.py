@@ -119,7 +119,7 @@ def _(spark, sf_dir):
 
 
 NAMES_SQL = """names AS (SELECT DISTINCT lower(w) AS word, CASE WHEN length(w) % 2 = 0 THEN 'PERSON' ELSE 'LOCATION' END AS entity
-  FROM (SELECT unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_]+', 0)) AS w FROM benchmark) WHERE length(w) > 5)"""
+  FROM (SELECT unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_]+', 0)) AS w FROM benchmark))"""
 
 
 @query("tag_gazetteer", f"""
@@ -132,7 +132,7 @@ SELECT doc_id, entity, word, CAST(e - length(m) AS BIGINT) AS start, CAST(e AS B
 FROM placed JOIN names ON word = lower(m)""")
 def _(spark, sf_dir):
     word = F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
-    names = table(spark, sf_dir, "benchmark").select(word.alias("w")).filter(F.length("w") > 5)
+    names = table(spark, sf_dir, "benchmark").select(word.alias("w"))
     names = names.select(F.lower("w").alias("word"), F.when(F.length("w") % 2 == 0, "PERSON").otherwise("LOCATION").alias("entity"))
     spans = tag_gazetteer(texts(spark, sf_dir), names.distinct())
     return spans.withColumns({"start": F.col("start").cast("long"), "end": F.col("end").cast("long")})

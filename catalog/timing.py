@@ -162,17 +162,22 @@ def _(spark, sf_dir):
     return timing.merge_punctuation(_pieces(spark, sf_dir), ["doc_id"], hot=False)
 
 
+def numbered(part: str, inside):
+    """One number for a place in a part; places are below 2 ** 32, so no two share one."""
+    return F.shiftleft(F.col(part).cast("long"), 32) + inside
+
+
 @query("assign_speakers", f"""
 WITH {WORDS_SQL},
 turns AS (SELECT conv_id AS call_id, role AS speaker, turn * 120.0::DOUBLE + 0.5 AS start, turn * 120.0::DOUBLE + 60.25 AS "end" FROM conversations
   UNION ALL SELECT conv_id, 'other', turn * 120.0::DOUBLE + 20.0, turn * 120.0::DOUBLE + 90.0 FROM conversations),
-n AS (SELECT *, segment_no * 100000 + word_no AS n FROM words),
+n AS (SELECT *, segment_no * 4294967296 + word_no AS n FROM words),
 o AS (SELECT w.call_id, n, speaker, sum(least(w."end", t."end") - greatest(w.start, t.start)) AS overlap
   FROM n w JOIN turns t ON w.call_id = t.call_id AND w.start < t."end" AND w."end" > t.start AND w."end" > w.start GROUP BY 1, 2, 3),
 best AS (SELECT call_id, n, speaker FROM o QUALIFY row_number() OVER (PARTITION BY call_id, n ORDER BY overlap DESC, speaker) = 1)
 SELECT call_id, n AS word_no, word, speaker FROM n LEFT JOIN best USING (call_id, n)""")
 def _(spark, sf_dir):
-    spoken = words(spark, sf_dir).withColumn("word_no", F.col("segment_no") * 100_000 + F.col("word_no")).drop("segment_no")
+    spoken = words(spark, sf_dir).withColumn("word_no", numbered("segment_no", F.col("word_no"))).drop("segment_no")
     base = table(spark, sf_dir, "conversations")
     begin = F.col("turn") * 120.0
     turns = base.select(F.col("conv_id").alias("call_id"), F.col("role").alias("speaker"), (begin + 0.5).alias("start"),
@@ -184,7 +189,7 @@ def _(spark, sf_dir):
 
 # Segments of up to three words, so that a chain of pauses runs through many short segments.
 SHORT_SQL = WORDS_SQL + """,
-sw AS (SELECT call_id, segment_no * 1000 + word_no // 3 AS segment_no, word_no % 3 AS word_no,
+sw AS (SELECT call_id, segment_no * 4294967296 + word_no // 3 AS segment_no, word_no % 3 AS word_no,
   start + (word_no // 3) * ((word_no // 3) % 5) * 0.25::DOUBLE AS start, "end" + (word_no // 3) * ((word_no // 3) % 5) * 0.25::DOUBLE AS "end"
   FROM words),
 ss AS (SELECT call_id, segment_no, segment_no // 8 AS window_no, min(start) + (segment_no % 4) * 0.5::DOUBLE - 0.5::DOUBLE AS start,
@@ -198,10 +203,10 @@ ss AS (SELECT call_id, segment_no, segment_no // 8 AS window_no, min(start) + (s
 BOUNDARY_SQL = SHORT_SQL + """,
 walk AS (
   SELECT call_id, 0::BIGINT AS k, 0::BIGINT AS segment_no, -1::BIGINT AS window_no, 0.0::DOUBLE AS start, 0.0::DOUBLE AS "end",
-    0.0::DOUBLE AS word_end, 0.0::DOUBLE AS w0_start, false AS after_pause FROM (SELECT DISTINCT call_id FROM ss)
+    0.0::DOUBLE AS word_end, 0.0::DOUBLE AS w0_start, 0.0::DOUBLE AS w0_end, 0.0::DOUBLE AS w1_start, 0::BIGINT AS n_words, false AS after_pause FROM (SELECT DISTINCT call_id FROM ss)
   UNION ALL
   SELECT call_id, k, segment_no, window_no, start3, CASE WHEN early THEN end_in ELSE last_end END,
-    CASE WHEN early THEN greatest(last_start + median, end_in) ELSE last_end END, w0s, paused
+    CASE WHEN early THEN greatest(last_start + median, end_in) ELSE last_end END, w0s, b, c, n, paused
   FROM (SELECT *, (end_in > last_start AND end_in + 0.5 < last_end) AS early FROM (
     SELECT *, CASE WHEN late THEN start_in ELSE a END AS start3,
       CASE WHEN n = 1 THEN CASE WHEN late THEN greatest(0.0, least(b - median, start_in)) ELSE a END
@@ -223,42 +228,45 @@ walk AS (
 @query("fix_segment_boundaries", f"""
 WITH RECURSIVE {BOUNDARY_SQL}
 SELECT call_id, segment_no, after_pause, round(start, 6) AS start, round("end", 6) AS "end", round(w0_start, 6) AS w0_start,
-  round(word_end, 6) AS last_end FROM walk WHERE k > 0""")
+  round(CASE WHEN n_words = 1 THEN word_end ELSE w0_end END, 6) AS w0_end, round(w1_start, 6) AS w1_start, round(word_end, 6) AS last_end, n_words
+FROM walk WHERE k > 0""")
 def _(spark, sf_dir):
     spoken, spans = short_segments(spark, sf_dir)
     fixed = timing.fix_segment_boundaries(spans, spoken)
-    return fixed.select("call_id", "segment_no", "after_pause",
-                        *[F.round(c, 6).alias(c) for c in ("start", "end", "w0_start", "last_end")])
+    return fixed.select("call_id", "segment_no", "after_pause", "n_words",
+                        *[F.round(c, 6).alias(c) for c in ("start", "end", "w0_start", "w0_end", "w1_start", "last_end")])
 
 
 def short_segments(spark, sf_dir):
     third = F.floor(F.col("word_no") / 3)
     shift = third * (third % 5) * 0.25
     spoken = words(spark, sf_dir).select(
-        "call_id", (F.col("segment_no") * 1000 + third).alias("segment_no"), (F.col("word_no") % 3).alias("word_no"),
+        "call_id", numbered("segment_no", third).alias("segment_no"), (F.col("word_no") % 3).alias("word_no"),
         (F.col("start") + shift).alias("start"), (F.col("end") + shift).alias("end"))
     n = F.col("segment_no")
     spans = spoken.groupBy("call_id", "segment_no").agg(F.min("start").alias("start"), F.max("end").alias("end")).select(
-        "call_id", "segment_no", F.floor(n / 8).alias("window_no"), (F.col("start") + (n % 4) * 0.5 - 0.5).alias("start"),
+        "call_id", "segment_no", F.shiftright(n, 3).alias("window_no"), (F.col("start") + (n % 4) * 0.5 - 0.5).alias("start"),
         (F.col("end") - (n % 3) * 0.5).alias("end"), (0.125 + (n % 2) * 0.125).alias("median"))
     return spoken, spans
 
 
 @query("apply_boundaries", f"""
 WITH RECURSIVE {BOUNDARY_SQL}
-SELECT sw.call_id, sw.segment_no, word_no, round(CASE WHEN word_no = 0 THEN w0_start ELSE sw.start END, 6) AS start
-FROM sw JOIN walk ON walk.call_id = sw.call_id AND walk.segment_no = sw.segment_no AND k > 0 WHERE word_no <> 1""")
+SELECT sw.call_id, sw.segment_no, word_no,
+  round(CASE word_no WHEN 0 THEN w0_start WHEN 1 THEN w1_start ELSE sw.start END, 6) AS start,
+  round(CASE word_no WHEN n_words - 1 THEN word_end WHEN 0 THEN w0_end ELSE sw."end" END, 6) AS "end"
+FROM sw JOIN walk ON walk.call_id = sw.call_id AND walk.segment_no = sw.segment_no AND k > 0""")
 def _(spark, sf_dir):
     spoken, spans = short_segments(spark, sf_dir)
     moved = timing.apply_boundaries(spoken, timing.fix_segment_boundaries(spans, spoken))
-    return moved.filter("word_no <> 1").select("call_id", "segment_no", "word_no", F.round("start", 6).alias("start"))
+    return moved.select("call_id", "segment_no", "word_no", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
 # A word that ends in a full stop or comma stands for a time marker, any other for a text token.
 TOKENS_SQL = r"""
 t0 AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM documents),
 t AS (SELECT doc_id, list_transform(ws, lambda x, i: CASE WHEN regexp_matches(x, '[.,]$') THEN 50364 + i % 1500 ELSE length(x) END) AS tokens
-  FROM t0 WHERE len(ws) > 0)"""
+  FROM t0)"""
 
 
 @query("split_on_markers", f"""
@@ -272,16 +280,16 @@ q AS (SELECT doc_id, part, len(pairs) > 0 AS met, tokens[cuts[part + 1]:cuts[par
 e AS (SELECT *, list_filter(piece, lambda x: x >= 50364)[-1] AS last_marker FROM q)
 SELECT doc_id, part, round(10.0 + CASE WHEN met THEN (piece[1] - 50364) * 0.02 ELSE 0 END, 6)::DOUBLE AS start,
   round(10.0 + CASE WHEN met THEN (piece[-1] - 50364) * 0.02 WHEN last_marker > 50364 THEN (last_marker - 50364) * 0.02 ELSE 30.0 END, 6)::DOUBLE AS "end",
-  len(piece) AS n_tokens FROM e""")
+  len(piece) AS n_tokens, array_to_string(piece, ' ') AS tokens FROM e""")
 def _(spark, sf_dir):
     from parley.functions.text import pieces
 
     tokens = F.transform(pieces(F.col("text")), lambda w, i: F.when(w.rlike("[.,]$"), 50364 + (i + 1) % 1500).otherwise(F.length(w)))
     rows = texts(spark, sf_dir).select(
         "doc_id", tokens.alias("tokens"), F.lit(10.0).alias("time_offset"), F.lit(30.0).alias("segment_duration"))
-    parts = timing.split_on_markers(rows.filter(F.size("tokens") > 0), 50364)
+    parts = timing.split_on_markers(rows, 50364)
     return parts.select("doc_id", "part", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"),
-                        F.size("tokens").cast("long").alias("n_tokens"))
+                        F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
 CANDIDATES_SQL = """
