@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A reference table is broadcast only if it is proven to stay below this many rows.
+# A reference table is broadcast only if it is proven to stay below this many rows and bytes.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts at most `max_rows` + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Measures at most `max_rows` + 1 rows, each by its length as text; only the lengths are gathered."""
+    lengths = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).limit(max_rows + 1)
+    found = lengths.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return found["rows"] <= max_rows and found["bytes"] <= max_bytes
 
 
 def lookup(rows: DataFrame, reference: DataFrame, key: str, spread: Column, how: str = "left",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import ordered as module
 from parley.operators import segments, speech, words
-from parley.operators.lookup import lookup
+from parley.operators.lookup import is_small, lookup
 from parley.operators.ordered import is_hot, ordered, position_block
 
 
@@ -125,6 +125,12 @@ def test_large_reference_is_joined_salted(spark):
         assert rows(small, "id", "word", "weight") == rows(large, "id", "word", "weight")
 
 
+def test_small_is_a_matter_of_rows_and_bytes(spark):
+    wide = spark.createDataFrame([("a" * 1000, None), (None, [1.5])], "word string, vector array<double>")
+    assert is_small(wide) and is_small(wide.limit(0))
+    assert not is_small(wide, max_rows=1) and not is_small(wide, max_bytes=1000)
+
+
 def test_transcript_of_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(segments, "BLOCK_ROWS", 4)
     data = [(c, n, f"{c}.{n} ") for c in (1, 2) for n in range(50)]
