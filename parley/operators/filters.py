@@ -66,7 +66,7 @@ def effective_language(language: Column, multilingual: bool = True) -> Column:
 
 def validate_language(df: DataFrame, language: str = "lang") -> tuple[DataFrame, DataFrame]:
     """Rows with a known language code, and the rest."""
-    known = F.coalesce(F.col(language).isin(LANGUAGE_CODES), F.lit(False))
+    known = F.coalesce(F.col(language).isin(*LANGUAGE_CODES), F.lit(False))
     return df.filter(known), df.filter(~known)
 
 
