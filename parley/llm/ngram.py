@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,16 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.bpe import slices
-from parley.llm.common import blank_words, ranges, run_hashes, stored, text_of, utf8_batch
+from parley.llm.common import blank_words, mix, ranges, run_hashes, stored, text_of, utf8_batch
 
-#: Share of all training tokens that a word needs to be sent to every task, and an n-gram to become a state.
-#: As the counts of one order sum to at most all tokens, there are at most 1 / share of each: the bounds of a broadcast.
-WORD_SHARE, GRAM_SHARE = 5e-7, 5e-6
+#: How often a word or an n-gram must occur to be a state, at any size of the training text.
+LEAST = 2
+#: Share of all training tokens that a word or an n-gram needs to be sent to every task; the others are joined. As the
+#: counts of one order sum to at most all tokens, there are at most 1 / share of each: the bound of a broadcast.
+GRAM_SHARE = 5e-7
 ORDER = 3
+#: Bits of a broadcast filter that spares the join most n-grams that are not in the table; a power of two.
+FILTER_BITS = 1 << 27
 #: Tokens that one lane of the traversal reads; lanes run side by side.
 LANE = 256
-#: Hash that stands for the end of a text, and the bits of a word's number in an n-gram's key.
-END, WORD_BITS = np.uint64(1), 22
+#: Hashes that stand for a text's start and its end, and the bits of a word's number in an n-gram's key.
+START, END, WORD_BITS = np.uint64(0), np.uint64(1), 22
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -31,7 +36,7 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, at = utf8_batch(column)
     starts, ends, first = blank_words(data, at)
     words = run_hashes(LOWER[data], starts, ends)
-    words[words == END] = np.uint64(2)
+    words[words <= END] = np.uint64(2)
     sizes = np.diff(first) + 1
     upto = np.concatenate([[0], np.cumsum(sizes)])
     out = np.full(int(upto[-1]), END, np.uint64)
@@ -47,9 +52,36 @@ def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def grams(words: np.ndarray, upto: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the n-gram that ends at each token: hash, hash of its words but the last, and of those but the first.
+
+    In front of a text stands its start, so a text's first token ends no n-gram of three.
+    """
+    if order == 2:
+        before = np.empty_like(words)
+        before[1:] = words[:-1]
+        before[upto[:-1]] = START
+        return pair(before, words), before, words
+    pairs, _, _ = grams(words, upto, 2)
+    inside = np.ones(len(words), bool)
+    inside[upto[:-1]] = False
+    at = np.flatnonzero(inside)
+    return pair(pairs[at - 1], pairs[at]), pairs[at - 1], pairs[at]
+
+
+def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(mix(a + np.uint64(0x9E3779B97F4A7C15)) + b)
+
+
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a filter may hold each key."""
+    bit = keys & np.uint64(FILTER_BITS - 1)
+    return (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 @dataclass
 class Model:
-    """Counts and the automaton. State 0 has no context; 1.. are frequent words, the first of them a text's start;
+    """Counts and the automaton of what is frequent. State 0 has no context; 1.. are frequent words, the first of them a text's start;
     then come pairs, and so on up to the order less one."""
 
     total: int  # training tokens
@@ -60,12 +92,18 @@ class Model:
     frequent: np.ndarray  # number among the frequent words, or -1
     grams: list[np.ndarray]  # by order from 2: sorted keys, number of the n-gram before << WORD_BITS | number of the word
     gram_counts: list[np.ndarray]
+    held: np.ndarray | None = None  # sorted hashes of all these n-grams
+    seen: np.ndarray | None = None  # filter: bits at the hashes of all n-grams in the table
     arcs: np.ndarray | None = None  # sorted keys: state << WORD_BITS | number of the word
     weight: np.ndarray | None = None  # log10 probability of each arc
     target: np.ndarray | None = None
     fail: np.ndarray | None = None  # state with the context shortened by its first word
     cost: np.ndarray | None = None  # log10 weight of the failure arc
     cost_all: np.ndarray | None = None  # of all failure arcs down to state 0
+    longer: DataFrame | None = None  # stored `key` and `gain` of all n-grams, which stay on the driver's side
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"longer": None}
 
     def unseen(self) -> float:
         return self.discount * self.kinds / self.total if self.total else 1.0
@@ -84,34 +122,30 @@ class Model:
         place = places(self.words, words)
         return place, np.where(place >= 0, self.frequent[place] if len(self.frequent) else -1, -1)
 
-    def gram_numbers(self, frequent: np.ndarray, upto: np.ndarray, order: int) -> np.ndarray:
-        """Key of the n-gram of this order that ends at each token, or -1 if a shorter part is too rare."""
-        inside = np.arange(len(frequent)) - np.repeat(upto[:-1], np.diff(upto))
-        before = np.empty_like(frequent)
-        before[1:] = frequent[:-1]
-        before[inside == 0] = 0
-        for k in range(2, order + 1):
-            keys = np.where((before >= 0) & (frequent >= 0), before << WORD_BITS | frequent, -1)
-            if k == order:
-                return keys
-            ending = places(self.grams[k - 2], keys)
-            shorter = ending  # the n-gram of this order that ends here must be frequent for a longer one to be
-            before = np.empty_like(ending)
-            before[1:] = ending[:-1]
-            before[inside == 0] = -1
-            frequent = np.where(shorter >= 0, frequent, -1)
-        return keys
-
-    def link(self, texts: int) -> None:
-        """Build the automaton from the counts; `texts` is how often a text's start was seen."""
+    def missed(self, words: np.ndarray, upto: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the n-grams that the automaton lacks and the table may have, and their texts."""
+        found, texts = [], []
+        for order in range(2, ORDER + 1):
+            keys, _, _ = grams(words, upto, order)
+            whose = owner if len(keys) == len(words) else np.delete(owner, upto[:-1])
+            may = np.flatnonzero(passes(self.seen, keys))
+            may = may[places(self.held, keys[may]) < 0]
+            found.append(keys[may])
+            texts.append(whose[may])
+        found, texts = np.concatenate(found), np.concatenate(texts)
+        order = np.argsort(texts, kind="stable")
+        return found[order], texts[order]
+
+    def link(self, texts: int, costs: list[np.ndarray]) -> None:
+        """Build the automaton from the counts; `texts` is how often a text's start was seen, `costs` are the log10
+        weights of the failure arcs by length of the context, which also count n-grams that are not sent."""
         number = np.flatnonzero(self.frequent >= 0)  # places of the frequent words, whose numbers start at 1
         count1 = np.concatenate([[texts], self.counts[number]]).astype(float)
-        log1 = np.concatenate([[0.0], self.word_logs(self.counts[number])])
         first = np.cumsum([1, len(count1), *(len(g) for g in self.grams)])  # first state of contexts of 1, 2, .. words
         states = int(first[ORDER - 1])
         self.fail, self.cost = np.zeros(states, np.int64), np.zeros(states)
         arcs, weight, target = [], [], []
-        below_logs, below_counts = log1, count1  # of the n-grams one shorter
+        below_counts = count1  # of the n-grams one shorter
         last_word, suffix_of = np.arange(len(count1)), np.zeros(len(count1), np.int64)
         for k, (keys, counts) in enumerate(zip(self.grams, self.gram_counts)):
             before, word = keys >> WORD_BITS, keys & ((1 << WORD_BITS) - 1)
@@ -119,17 +153,14 @@ class Model:
             logs = np.log10(held / below_counts[before])
             # The same n-gram without its first word: the word itself, or a shorter n-gram that is at least as frequent.
             suffix = word if k == 0 else places(self.grams[k - 1], (last_word[before] if k == 1 else suffix_of[before]) << WORD_BITS | word)
-            seen = np.bincount(before, 10 ** logs, len(below_counts))
-            lower = np.bincount(before, 10 ** below_logs[suffix], len(below_counts))
-            context = first[k] + np.arange(len(below_counts))
-            self.cost[context] = np.log10(np.maximum(1 - seen, 1e-9) / np.maximum(1 - lower, 1e-9))
+            self.cost[first[k] + np.arange(len(below_counts))] = costs[k]
             arcs.append(first[k] + before << WORD_BITS | word)
             weight.append(logs)
             longest = k + 2 == ORDER
             target.append(first[k] + suffix if longest else first[k + 1] + np.arange(len(keys)))
             if not longest:
                 self.fail[first[k + 1] + np.arange(len(keys))] = first[k] + suffix
-            below_logs, below_counts, last_word, suffix_of = logs, counts.astype(float), word, suffix
+            below_counts, last_word, suffix_of = counts.astype(float), word, suffix
         arcs, weight, target = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (arcs, weight, target))
         order = np.argsort(arcs)
         self.arcs, self.weight, self.target = arcs[order], weight[order], target[order]
@@ -187,58 +218,142 @@ class Model:
         return np.bincount(owner, score, len(sizes))
 
 
-def _counted(rows: DataFrame, keys_of) -> DataFrame:
-    """Sum over all texts of the keys that `keys_of` finds in a batch: `key`, `n`."""
+def _counted(rows: DataFrame, keys_of, names: list[str]) -> DataFrame:
+    """Sum over all texts of what `keys_of` finds in a batch, a hash that tells apart and columns `names`: those, `n`."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for batch in slices(big, "text"):
-                keys, n = np.unique(keys_of(*tokens(batch.column("text"))), return_counts=True)
-                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
+                keys, *columns = keys_of(*tokens(batch.column("text")))
+                _, at, n = np.unique(keys, return_index=True, return_counts=True)
+                yield pa.record_batch([*(pa.array(c[at].view(np.int64)) for c in columns), pa.array(n)], [*names, "n"])
+
+    return rows.mapInArrow(count, "".join(f"{c} long, " for c in names) + "n long").groupBy(*names).agg(F.sum("n").alias("n"))
+
 
-    return rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def _keyed(counts: DataFrame) -> DataFrame:
+    """`a`, `b`, `n` with the hash of the n-gram as `key`."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(c).to_numpy().view(np.uint64) for c in "ab")
+            yield pa.record_batch([pa.array(pair(a, b).view(np.int64)), *batch.columns], ["key", *batch.schema.names])
 
+    return counts.mapInArrow(add, "key long, a long, b long, n long")
 
-def _few(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    found = counts.where(F.col("n") >= least).toArrow()
-    return found["key"].to_numpy(), found["n"].to_numpy()
+
+def _costs(grams: DataFrame) -> DataFrame:
+    """log10 weight of the failure arc of each context (`a`, `cost`): what its n-grams leave over, by what they would
+    have a word shorter (`log`, `low`)."""
+    left = lambda log: F.greatest(1 - F.sum(F.pow(F.lit(10.0), log)), F.lit(1e-9))
+    return grams.groupBy("a").agg(F.log10(left("log") / left("low")).alias("cost"))
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bits at the hashes of all keys, merged by the executors: of the same size for any number of keys."""
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = np.unique(batch.column("key").to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1))
+            at, first = np.unique(bit >> np.uint64(6), return_index=True)
+            mask = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first) if len(bit) else bit
+            yield pa.record_batch([pa.array(at.view(np.int64)), pa.array(mask.view(np.int64))], ["at", "mask"])
+
+    found = keys.mapInArrow(bits, "at long, mask long").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[found["at"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return out
 
 
 def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
-    """The model and the stored counts of all words (`key`, `n`), from all texts of `training`."""
+    """The model and the stored table of all words (`key`, `n`, `gain`), from all texts of `training`; the model's
+    `longer` is the table of all n-grams that occur `LEAST` times.
+
+    A text's log10 probability is the sum of what its n-grams gain. A word gains its own weight and that of its failure
+    arc; a longer n-gram what it weighs more than the way round by the failure arc before it, and its own failure
+    arc. So each n-gram can be looked up by itself, in the automaton or in the tables.
+    """
     rows = training.select(text_of(text_col).alias("text"))
-    sc = training.sparkSession.sparkContext
-    counts = stored(_counted(rows, lambda words, upto: words), "words")
-    total, kinds, once = counts.agg(F.sum("n"), F.count("*"), F.sum((F.col("n") == 1).cast("long"))).first()
-    total, once = int(total or 0), int(once or 0)
-    keys, n = _few(counts, max(2, int(np.ceil(total * WORD_SHARE))))
-    least = max(2, int(np.ceil(total * GRAM_SHARE)))
-    order = np.argsort(keys.view(np.uint64))
-    keys, n = keys.view(np.uint64)[order], n[order]
-    frequent = np.where(n >= least, np.cumsum(n >= least), -1)
+    words = stored(_counted(rows, lambda words, upto: (words, words), ["key"]), "words")
+    total, kinds, once, texts = words.agg(F.sum("n"), F.count("*"), F.sum((F.col("n") == 1).cast("long")),
+                                          F.sum(F.when(F.col("key") == int(END), F.col("n")))).first()
+    total, once, texts = int(total or 0), int(once or 0), int(texts or 1)
+    least = max(LEAST, int(np.ceil(total * GRAM_SHARE)))
     discount = min(0.75, max(once, 1) / (kinds + 1))
-    model = Model(total, kinds, discount, keys, n, frequent, [], [])
-    texts = int(n[keys == END].sum()) if (keys == END).any() else 1
+    own = F.log10((F.col("n") - F.lit(discount)) / F.lit(float(max(total, 1))))
+    words = words.withColumn("log", own)
+    spark = training.sparkSession
+    starts = spark.createDataFrame([(int(START), texts, 0.0)], "key long, n long, log double")
+    below = words.where(F.col("n") >= LEAST).unionByName(starts)
+    found, arcs = [], []
     for size in range(2, ORDER + 1):
-        shared = sc.broadcast(model)
-
-        def keys_of(words: np.ndarray, upto: np.ndarray, size: int = size, shared: Broadcast = shared) -> np.ndarray:
-            _, numbers = shared.value.numbers(words, upto)
-            found = shared.value.gram_numbers(numbers, upto, size)
-            return found[found >= 0]
-
-        found, n = _few(_counted(rows, keys_of), least)
-        order = np.argsort(found)
-        model.grams.append(found[order])
+        shared = spark.sparkContext.broadcast(_filter(below.select("key")))
+
+        def keys_of(words: np.ndarray, upto: np.ndarray, size: int = size, shared: Broadcast = shared) -> list[np.ndarray]:
+            keys, a, b = grams(words, upto, size)  # both shorter n-grams occur as often as this one at least
+            may = passes(shared.value, a) & passes(shared.value, b)
+            return [x[may] for x in (keys, a, b)]
+
+        counts = _keyed(_counted(rows, keys_of, ["a", "b"]).where(F.col("n") >= LEAST))
+        known = (counts.join(below.select(F.col("key").alias("a"), F.col("n").alias("all")), "a")
+                 .join(below.select(F.col("key").alias("b"), F.col("log").alias("low")), "b")
+                 .select("key", "a", "b", "n", F.log10((F.col("n") - 0.5) / F.col("all")).alias("log"), "low"))
+        known = stored(known, "known")
+        found.append(known)
+        arcs.append(stored(_costs(known), "costs"))
+        below = known.select("key", "n", "log")
+    none = F.lit(0.0)
+    leads = [*(c.select(F.col("a").alias("key"), F.col("cost").alias("on")) for c in arcs), None]
+
+    def leading(table: DataFrame, k: int) -> DataFrame:
+        return table.withColumn("on", none) if leads[k] is None else table.join(leads[k], "key", "left").withColumn("on", F.coalesce("on", none))
+
+    levels = [stored(leading(words, 0), "leading")]
+    gains = levels[0].select("key", "n", (F.col("log") + F.col("on")).alias("gain"))
+    longer = []
+    for k, known in enumerate(found):
+        rare = F.col("n") < least
+        levels.append(stored(leading(known.join(arcs[k], "a"), k + 1).select(
+            "key", (F.col("log") - F.col("low") - F.col("cost") + F.col("on")).alias("gain"),
+            *(F.when(~rare, F.col(c)).alias(c) for c in ("a", "b", "n", "on"))), "leading"))
+        longer.append(levels[-1].select("key", "gain"))
+
+    def few(level: DataFrame, *columns: str) -> list[np.ndarray]:
+        rows = level.where(F.col("n") >= least).select(*columns).toArrow()
+        return [rows[c].to_numpy() for c in columns]
+
+    keys, n, on = few(levels[0], "key", "n", "on")
+    order = np.argsort(keys.view(np.uint64))
+    hashes, n, on = keys.view(np.uint64)[order], n[order], on[order]
+    model = Model(total, kinds, discount, hashes, n, np.arange(1, len(n) + 1), [], [])
+    start = arcs[0].where(F.col("a") == int(START)).first()
+    costs, held = [np.concatenate([[start["cost"] if start else 0.0], on])], []
+    numbers = np.concatenate([[0], np.arange(1, len(n) + 1)])  # of the contexts `hashes`, the start before the words
+    hashes = np.concatenate([[START], hashes]).astype(np.uint64)
+    last = numbers
+    for level in levels[1:]:
+        key, a, b, n, on = few(level, "key", "a", "b", "n", "on")
+        key, a, b = (x.view(np.uint64) for x in (key, a, b))
+        sort = np.argsort(hashes)
+        of = lambda x: numbers[sort][places(hashes[sort], x)]
+        before, word = of(a), last[sort][places(hashes[sort], b)]
+        packed = before << WORD_BITS | word
+        order = np.argsort(packed)
+        model.grams.append(packed[order])
         model.gram_counts.append(n[order])
-    model.link(texts)
-    return model, counts
+        costs.append(on[order])
+        held.append(key)
+        hashes, last, numbers = key[order], word[order], np.arange(len(order))
+    model.held = np.sort(np.concatenate(held))
+    model.longer = reduce(DataFrame.unionByName, longer)
+    model.seen = _filter(model.longer.select("key"))
+    model.link(texts, costs)
+    return model, gains
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score` for every row of `docs`.
 
-    The automaton and the frequent words go to every task, bounded by their share of all tokens. Other words take
-    their counts from the stored table: their hashes are joined with it, and what they weigh is summed per row.
+    The automaton of the frequent words and n-grams goes to every task, bounded by their share of all tokens. The
+    others take their counts and gains from the stored table: their hashes are joined with it, and what they gain is
+    summed per row.
 
     Null texts count as empty: one token, the end. Null ids and repeated rows are scored as rows of their own; an
     empty table gives an empty result; without training text every word is unseen and weighs nothing. Columns of
@@ -246,6 +361,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    def lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
+        upto = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+        return pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(values.view(np.int64)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = shared.value
         for big in batches:
@@ -256,22 +375,23 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                 known = place >= 0
                 base = np.zeros(len(words))
                 base[known] = tool.base_logs(tool.counts[place[known]])
-                rest = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, ~known, len(batch)))]).astype(np.int32)),
-                                                pa.array(words[~known].view(np.int64)))
                 yield pa.record_batch([batch.column("id"), pa.array(np.diff(upto)), pa.array(np.bincount(owner, known, len(batch)).astype(np.int64)),
-                                       pa.array(np.bincount(owner, base, len(batch))), pa.array(tool.traverse(place, numbers, upto)), rest],
-                                      ["id", "n_tokens", "known", "base", "gained", "rest"])
+                                       pa.array(np.bincount(owner, base, len(batch))), pa.array(tool.traverse(place, numbers, upto)),
+                                       lists(words[~known], owner[~known], len(batch)), lists(*tool.missed(words, upto, owner), len(batch))],
+                                      ["id", "n_tokens", "known", "base", "gained", "rest", "longer"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    part = stored(rows.mapInArrow(run, f"id {kind}, n_tokens long, known long, base double, gained double, rest array<long>"), "scored")
+    part = stored(rows.mapInArrow(run, f"id {kind}, n_tokens long, known long, base double, gained double, rest array<long>, longer array<long>"), "scored")
     part = part.withColumn("row", F.monotonically_increasing_id())
-    n = F.coalesce("n", F.lit(0))
-    base = F.log10((n + 1) / F.lit(float(model.total + model.kinds + 1)))
-    own = F.when(n > 0, F.log10((n - F.lit(model.discount)) / F.lit(float(max(model.total, 1))))).otherwise(F.lit(float(np.log10(model.unseen()))))
-    rest = (part.select("row", F.explode("rest").alias("key")).join(counts, "key", "left").groupBy("row")
-            .agg(F.count("n").alias("rest_known"), F.sum(base).alias("rest_base"), F.sum(own).alias("rest_own")))
-    return part.drop("rest").join(rest, "row", "left").select(
-        F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"),
-        (F.col("gained") + F.coalesce("rest_own", F.lit(0.0))).alias("score"))
+    gains = counts.unionByName(model.longer.withColumn("n", F.lit(None).cast("long")))
+    base = F.log10((F.col("n") + 1) / F.lit(float(model.total + model.kinds + 1)))
+    rest = (part.select("row", F.explode(F.concat("rest", "longer")).alias("key")).join(gains, "key").groupBy("row")
+            .agg(F.count("n").alias("rest_known"), F.sum(base).alias("rest_base"), F.sum("gain").alias("rest_gain")))
+    rest_known = F.coalesce("rest_known", F.lit(0))
+    unseen = F.col("n_unseen") - rest_known
+    zero = F.lit(0.0)
+    return part.withColumn("n_unseen", F.size("rest")).drop("rest", "longer").join(rest, "row", "left").select(
+        F.col("id").alias(id_col), "n_tokens", (F.col("known") + rest_known).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("rest_base", zero) + unseen * F.lit(float(-np.log10(model.total + model.kinds + 1)))).alias("base_score"),
+        (F.col("gained") + F.coalesce("rest_gain", zero) + unseen * F.lit(float(np.log10(model.unseen())))).alias("score"))

@@ -336,6 +336,45 @@ def test_probabilities_add_up(spark):
         assert total == pytest.approx(1, abs=0.02)
 
 
+def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    """Against the back-off rule over all n-grams that occur twice, with few of them sent to the tasks."""
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(f"w{int(k)}" for k in rng.zipf(1.3, 60) if k < 400) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    train = docs.where("doc_id % 4 > 0")
+    lists = {i: [*t.split(), "</s>"] for i, t in texts.items()}
+    seen = [Counter() for _ in range(3)]
+    for i, words in lists.items():
+        if i % 4:
+            line = ["<s>", *words]
+            seen[0].update(words)
+            seen[1].update(zip(line, line[1:]))
+            seen[2].update(zip(line, line[1:], line[2:]))
+    total, kinds = sum(seen[0].values()), len(seen[0])
+    discount = min(0.75, max(1, sum(n == 1 for n in seen[0].values())) / (kinds + 1))
+    one = {w: (n - discount) / total for w, n in seen[0].items()}
+    held = {("<s>",): sum(i % 4 > 0 for i in texts), **{(w,): n for w, n in seen[0].items()}, **seen[1]}
+    prob = {g: (n - 0.5) / held[g[:-1]] for c in seen[1:] for g, n in c.items() if n >= 2}
+    followers = defaultdict(list)
+    for g in prob:
+        followers[g[:-1]].append(g)
+
+    def weight(words):
+        if len(words) == 1:
+            return one.get(words[0], discount * kinds / total)
+        if words in prob:
+            return prob[words]
+        left = 1 - sum(prob[g] for g in followers[words[:-1]])
+        lower = 1 - sum(weight(g[1:]) for g in followers[words[:-1]])
+        return left / lower * weight(words[1:])
+
+    for share in (5e-7, 0.01):
+        monkeypatch.setattr(ngram, "GRAM_SHARE", share)
+        for r in ngram.score(docs, *ngram.learn(train)).collect():
+            line = ["<s>", *lists[r["doc_id"]]]
+            assert r["score"] == pytest.approx(sum(math.log10(weight(tuple(line[max(0, k - 2):k + 1]))) for k in range(1, len(line)))), share
+
+
 def test_fingerprints(spark, texts):
     found = {r["doc_id"]: r for r in run(spark, "op10_order_minhash")}
     ids = sorted(texts, reverse=True)
