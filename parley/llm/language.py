@@ -13,10 +13,11 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from parley.llm.bpe import LETTER, char_classes, slices, texts_of
 from parley.llm.common import resident, small_batches, text_of
 
-#: Bounds of the labelled sample: languages, documents of each, characters of each document, letters of all together.
-MAX_LANGUAGES, DOCUMENTS, DOCUMENT_CHARS, LETTERS = 64, 100, 2_000, 160_000
-#: Different letters that are told apart; rarer ones match nothing.
-ALPHABET = 94
+#: Bounds of each language's labelled sample: documents, characters of each document, letters.
+DOCUMENTS, DOCUMENT_CHARS, LETTERS = 100, 2_000, 26_000
+#: Letters of a language that have a column of their own, and the entries of such tables together; the ways of all
+#: other letters of the sample are looked up in a sorted list, with the same outcome.
+COLUMNS, ENTRIES = 94, 32 << 20
 #: Letters that are parsed in one go; a phrase ends where such a block ends.
 BLOCK = 1_024
 #: Bits that halve the doubt about a prediction.
@@ -37,58 +38,106 @@ def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return points[keep], upto[edges]
 
 
-def automaton(text: np.ndarray, kinds: int) -> np.ndarray:
-    """Suffix automaton of coded letters as a table [state, letter].
-
-    A walk follows the longest match. Where a letter doesn't continue it, the entry is the complement (below 0) of
-    the state at which the next phrase begins with that letter; code `kinds` leaves the state as it is.
-    """
-    table = np.full((2 * len(text) + 1, kinds + 1), -1, np.int32)
-    link, length, last, used = [-1], [0], 0, 1
+def transitions(text: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix automaton of coded letters: the number of states, and of each way its state, letter and target."""
+    ways: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
     for c in text.tolist():
-        new, column = used, table[:, c]
-        used += 1
+        new = len(ways)
+        ways.append({})
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and column[p] < 0:
-            column[p] = new
+        while p >= 0 and c not in ways[p]:
+            ways[p][c] = new
             p = link[p]
         if p >= 0:
-            q = int(column[p])
+            q = ways[p][c]
             if length[q] == length[p] + 1:
                 link[new] = q
             else:
-                twin = used
-                used += 1
-                table[twin] = table[q]
+                twin = len(ways)
+                ways.append(dict(ways[q]))
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and column[p] == q:
-                    column[p] = twin
+                while p >= 0 and ways[p].get(c) == q:
+                    ways[p][c] = twin
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    table = table[:used]
+    sizes = np.fromiter(map(len, ways), np.int64, len(ways))
+    n = int(sizes.sum())
+    letter = np.fromiter((c for way in ways for c in way), np.int64, n)
+    target = np.fromiter((t for way in ways for t in way.values()), np.int32, n)
+    return len(ways), np.repeat(np.arange(len(ways)), sizes), letter, target
+
+
+def tabled(states: int, state: np.ndarray, letter: np.ndarray, target: np.ndarray, kinds: int) -> np.ndarray:
+    """The ways by letters below `kinds` as a table [state, letter].
+
+    A walk follows the longest match. Where a letter doesn't continue it, the entry is the complement (below 0) of
+    the state at which the next phrase begins with that letter; code `kinds` leaves the state as it is.
+    """
+    table = np.full((states, kinds + 1), -1, np.int32)
+    own = letter < kinds
+    table[state[own], letter[own]] = target[own]
     again = ~np.maximum(table[0], 0)
     table = np.where(table < 0, again, table)
-    table[:, kinds] = np.arange(used)
+    table[:, kinds] = np.arange(states)
     return np.ascontiguousarray(table, np.int32)
 
 
+def automaton(text: np.ndarray, kinds: int) -> np.ndarray:
+    """Suffix automaton of coded letters as a table of all of them."""
+    return tabled(*transitions(text), kinds)
+
+
+class Language:
+    """The automaton of one sample: columns for frequent letters, a sorted list for the others, every letter in it."""
+
+    def __init__(self, text: np.ndarray, alphabet: np.ndarray, columns: int) -> None:
+        """`alphabet` holds the letters of all languages."""
+        found, at, n = np.unique(text, return_inverse=True, return_counts=True)
+        rank = np.empty(len(found), np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(found))
+        states, state, letter, target = transitions(rank[at])
+        self.columns = min(columns, len(found))  # the column after them: a letter that isn't in the sample
+        self.code = np.full(len(alphabet) + 1, self.columns, np.int32)
+        self.code[np.searchsorted(alphabet, found)] = np.where(rank < self.columns, rank, rank + 1)
+        self.kinds = len(found) + 1
+        few = letter < self.columns
+        table = tabled(states, state[few], letter[few], target[few], self.columns + 1)
+        self.flat, self.width = table.ravel(), table.shape[1]
+        keys = state[~few] * self.kinds + letter[~few] + 1
+        order = np.argsort(keys)
+        self.keys, self.targets = keys[order], target[~few][order]
+
+    def step(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Next state of each walk, or the complement of the state at which a new phrase begins."""
+        if not len(self.keys):
+            return self.flat[state * self.width + codes]
+        found = self.flat[state * self.width + np.minimum(codes, self.columns)]
+        rare = np.flatnonzero(codes > self.columns)
+        if len(rare):
+            code = codes[rare].astype(np.int64)
+            keys = state[rare] * self.kinds + code
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            begin = self.targets[np.searchsorted(self.keys, code)]  # from state 0, which every letter leaves
+            found[rare] = np.where(self.keys[at] == keys, self.targets[at], ~begin)
+        return found
+
+
 class Parser:
     """Counts the phrases of texts against each language."""
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
         self.languages = sorted(samples)
-        share = LETTERS // max(1, len(samples))
-        text = {lang: letters(samples[lang])[0][:share] for lang in self.languages}
-        found, n = np.unique(np.concatenate([*text.values(), np.zeros(1, np.uint32)]), return_counts=True)
-        found = found[np.argsort(-n, kind="stable")][:ALPHABET]
-        self.kinds = len(found) + 1  # the last: a letter that matches nothing
-        self.code = np.full(0x110000, len(found), np.uint8)
-        self.code[found] = np.arange(len(found))
-        self.tables = [automaton(self.code[text[lang]][self.code[text[lang]] < len(found)], self.kinds) for lang in self.languages]
+        text = {lang: letters(samples[lang])[0][:LETTERS] for lang in self.languages}
+        self.alphabet = np.unique(np.concatenate([*text.values(), np.zeros(1, np.uint32)]))
+        self.code = np.full(0x110000, len(self.alphabet), np.int32)
+        self.code[self.alphabet] = np.arange(len(self.alphabet))
+        columns = max(0, min(COLUMNS, ENTRIES // (2 * sum(map(len, text.values())) + len(text)) - 2))
+        self.tables = [Language(text[lang], self.alphabet, columns) for lang in self.languages]
         self.phrase_bits = np.array([np.log2(len(text[lang]) + 2) for lang in self.languages])
 
     def bits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,15 +151,15 @@ class Parser:
         size = np.minimum(at[1:][owner] - lo, BLOCK)
         order = np.argsort(-size, kind="stable")  # the longest first, so that a step only has the blocks that go on
         owner, lo, size = owner[order], lo[order], size[order]
-        codes = self.code[points]
+        letter = self.code[points]
         live = np.searchsorted(-size, -np.arange(BLOCK), side="left")  # blocks with more than so many letters
         phrases = np.ones((len(self.languages), len(owner)), np.int32)
         for row, table in zip(phrases, self.tables):
-            flat, width = table.ravel(), table.shape[1]
-            state = np.zeros(len(owner), np.int32)
+            codes = table.code[letter]
+            state = np.zeros(len(owner), np.int64)
             for step in range(int(size[0]) if len(size) else 0):
                 n = live[step]
-                found = flat[state[:n] * width + codes[lo[:n] + step]]
+                found = table.step(state[:n], codes[lo[:n] + step])
                 miss = found >> 31
                 row[:n] -= miss
                 state[:n] = found ^ miss
@@ -126,15 +175,13 @@ def _parser(samples: tuple) -> Parser:
 
 
 def sample(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple:
-    """Texts of each language: of the most frequent `MAX_LANGUAGES`, `DOCUMENTS` documents in the order of a hash.
+    """Texts of every language: `DOCUMENTS` documents in the order of a hash.
 
     The ranks are limited before the shuffle, so a language of a third of all rows sends a few from each task.
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("at"),
                            F.substring(text_of(text_col), 1, DOCUMENT_CHARS).alias("text")).where("lang is not null")
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
-    few = (rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at", "text")))
-           .where(F.col("rank") <= DOCUMENTS).join(F.broadcast(top), "lang"))
+    few = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at", "text"))).where(F.col("rank") <= DOCUMENTS)
     found: dict[str, list[str]] = {}
     for row in few.orderBy("lang", "rank").collect():
         found.setdefault(row.lang, []).append(row.text)

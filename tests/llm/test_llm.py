@@ -105,6 +105,31 @@ def test_automaton_walks_longest_matches():
     assert phrases > 5
 
 
+def test_languages_of_many_scripts_and_labels(spark):
+    """Seven scripts, one of them of a thousand letters, and labels for 70 languages of words of their own."""
+    rng = np.random.default_rng(11)
+    scripts = {"el": (0x3B1, 24), "ru": (0x430, 32), "ar": (0x628, 30), "hi": (0x915, 35), "he": (0x5D0, 27), "zh": (0x4E00, 1000), "ko": (0xAC00, 600)}
+    starts = {**scripts, **{f"x{i:02}": (0x61, 26) for i in range(70)}}
+    rows = []
+    for k, (lang, (start, n)) in enumerate(starts.items()):
+        words = ["".join(chr(start + int(c)) for c in rng.integers(0, n, 5)) for _ in range(30)]
+        rows += [(100 * k + d, " ".join(words[int(w)] for w in rng.integers(0, 30, 25)), lang) for d in range(6 if lang != "x69" else 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language.sample(docs.where("doc_id % 100 > 0"))
+    assert {lang for lang, _ in samples} == set(starts)
+    found = language.identify(docs.where("doc_id % 100 = 0"), samples).collect()
+    assert len(found) == len(starts) and all(r["lang_pred"] == r["lang"] for r in found)
+
+
+def test_columns_do_not_change_phrases(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = ["".join(chr(0x4E00 + int(c)) for c in rng.zipf(1.4, 400) % 300) for _ in range(6)]
+    samples = {"a": texts[:2], "b": texts[2:4]}
+    whole = language.Parser(samples).bits(texts)[0]
+    monkeypatch.setattr(language, "COLUMNS", 3)
+    assert (language.Parser(samples).bits(texts)[0] == whole).all()
+
+
 def test_trust_follows_links(spark):
     """Against repeated matrix products."""
     edges = [("a", "b", 2), ("b", "c", 1), ("b", "a", 1), ("c", "d", 3), ("e", "d", 1)]
