@@ -427,6 +427,25 @@ def test_fingerprints_follow_order(spark):
     assert a == c and 0 < len(set(a) & set(b)) < len(a) and len(a) > order_minhash.TUPLES * 0.9
 
 
+def test_fingerprints_of_short_texts_follow_order(spark):
+    """Halves of 20 to 100 words change places: as many tuples stay as pairs of k-mers keep their order."""
+    rng = np.random.default_rng(9)
+    rows, expected = [], []
+    for k in range(120):
+        words = [f"w{k}x{int(i)}" for i in range(rng.integers(20, 100))]
+        both = [words, words[len(words) // 2:] + words[:len(words) // 2]]
+        rows.append((k, *map(" ".join, both)))
+        a, b = ({tuple(w[i:i + 3]): i for i in range(len(w) - 2)} for w in both)
+        same = [(a[g], b[g]) for g in a.keys() & b.keys()]
+        kept = sum((x[0] < y[0]) == (x[1] < y[1]) for i, x in enumerate(same) for y in same[:i])
+        expected.append(kept / math.comb(len(a.keys() | b.keys()), 2))
+    docs = spark.createDataFrame([*rows, (1000, "a b c", "a b"), (1001, "a b c d", "a b c d")], "k int, a string, b string")
+    found = docs.select("k", *(order_minhash.fingerprint(F.col(c)).alias(c) for c in "ab")).collect()
+    assert all(len(r[c]) == order_minhash.TUPLES for r in found for c in "ab")
+    alike = [len(set(r["a"]) & set(r["b"])) / order_minhash.TUPLES for r in sorted(found)[:-2]]
+    assert np.mean(alike) == pytest.approx(np.mean(expected), abs=0.03)
+
+
 def test_stages(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame([(90_001, None, "en", "s", 0), (90_002, "123 ...", "en", "s", 7)], docs.schema)
