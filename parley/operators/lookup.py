@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +35,10 @@ def lookup(rows: DataFrame, reference: DataFrame, key: str, spread: Column, how:
     salted = reference.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     return rows.join(salted, [key, "_salt"], how).drop("_salt")
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null: a null key meets a null key. The keys of `left` stay."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    met = left.join(right, reduce(and_, (left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys)), how)
+    return met.drop(*(f"_r_{k}" for k in keys))

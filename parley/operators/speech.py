@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.text import round2, seconds_to_samples
+from parley.operators.lookup import same_keys
 from parley.operators.ordered import is_hot, ordered, position_block
 
 CALL = "call_id"
@@ -91,7 +92,7 @@ def speech_chunks(frames: DataFrame, options: SpeechOptions = SpeechOptions(), l
     lengths = audio_lengths(frames, options) if lengths is None else lengths
     events = _events(frames, options, options.samples(options.min_silence_ms), hot)
     events = events.following(next_pause=F.col("pause_from")).filter(F.col("opens"))
-    chunks = events.rows().join(lengths, CALL).select(
+    chunks = same_keys(events.rows(), lengths, [CALL]).select(
         CALL, (F.col("at") * options.window).alias("start"),
         F.coalesce(F.col("next_pause") * options.window, "samples").alias("end"))
     chunks = chunks.filter(F.col("end") - F.col("start") > options.samples(options.min_speech_ms))
@@ -184,7 +185,7 @@ def _limited_chunks(frames: DataFrame, options: SpeechOptions, lengths: DataFram
     reset = options.samples(options.min_silence_ms) + split + options.window
     starts = _events(frames, options, reset, hot).filter(F.col("opens")).df.select(CALL, "at", F.lit(1).alias("_first"))
     rows = frames.select(CALL, F.col("frame_idx").cast("long").alias("at"), F.col("prob").cast("double").alias("prob"))
-    rows = rows.join(starts, [CALL, "at"], "left")
+    rows = same_keys(rows, starts, [CALL, "at"], "left")
     rows = ordered(rows, [CALL], ["at"], position_block("at"), hot).running_sum(
         stretch=F.coalesce(F.col("_first"), F.lit(0))).rows().filter("stretch > 0")
     sorted_rows = rows.select(CALL, "stretch", "at", "prob").repartition(CALL, "stretch").sortWithinPartitions(
@@ -193,7 +194,7 @@ def _limited_chunks(frames: DataFrame, options: SpeechOptions, lengths: DataFram
     walked = sorted_rows.groupBy(CALL, "stretch").applyInPandas(
         _walker(options), f"{CALL} {call_type}, stretch long, start long, end long")
     # A chunk left open runs to the end of the audio; only the last stretch can leave one.
-    chunks = walked.join(lengths, CALL).withColumn("_open", F.col("end").isNull())
+    chunks = same_keys(walked, lengths, [CALL]).withColumn("_open", F.col("end").isNull())
     chunks = chunks.select(CALL, "start", F.coalesce("end", "samples").alias("end"), "_open")
     shortest = options.samples(options.min_speech_ms)
     chunks = chunks.filter(~F.col("_open") | (F.col("end") - F.col("start") > shortest))
@@ -205,7 +206,7 @@ def pad_chunks(chunks: DataFrame, lengths: DataFrame, options: SpeechOptions = S
     """Widen chunks; neighbours closer than two pads share the gap between them."""
     pad = options.samples(options.pad_ms)
     rows = ordered(chunks, [CALL], ["start"], _sample_block(options), hot)
-    rows = rows.previous(_before=F.col("end")).following(_after=F.col("start")).rows().join(lengths, CALL)
+    rows = same_keys(rows.previous(_before=F.col("end")).following(_after=F.col("start")).rows(), lengths, [CALL])
     gap_before, gap_after = F.col("start") - F.col("_before"), F.col("_after") - F.col("end")
 
     def share(gap: Column) -> Column:
@@ -232,7 +233,7 @@ def speech_stats(chunks: DataFrame, lengths: DataFrame, options: SpeechOptions =
     """Seconds of audio, of speech kept, and of silence removed, per call."""
     kept = chunks.groupBy(CALL).agg(F.sum(F.col("end") - F.col("start")).alias("_kept"))
     rate, kept_samples = F.lit(float(options.rate)), F.coalesce("_kept", F.lit(0))
-    return lengths.join(kept, CALL, "left").select(
+    return same_keys(lengths, kept, [CALL], "left").select(
         CALL, (F.col("samples") / rate).alias("duration"), (kept_samples / rate).alias("duration_after"),
         ((F.col("samples") - kept_samples) / rate).alias("removed"))
 

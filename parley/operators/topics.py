@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from parley.operators.lookup import same_keys
 from parley.session import cut
 
 THRESHOLD = 0.35
@@ -194,11 +195,16 @@ def primary_secondary(scores: DataFrame, call: str = "call_id", score: str = "sc
 def softmax_scores(scores: DataFrame, call: str = "call_id", score: str = "score") -> DataFrame:
     """Scores of a call's topics as probabilities that add up to one; rows without a call belong together.
 
-    The largest score of a call is taken off first, so no exponential overflows, and the scores are read once.
+    Scores of a call are summed by their whole part, each as a power above it; such sums merge within map tasks, so a
+    call of any size is no single task. The largest whole part is then taken off, so no exponential overflows.
+    A null score has no probability and counts for nothing.
     """
-    own = Window.partitionBy(call)
-    shifted = scores.withColumn("_exp", F.exp(F.col(score) - F.max(score).over(own)))
-    return shifted.withColumn("probability", F.col("_exp") / F.sum("_exp").over(own)).drop("_exp")
+    whole = F.floor(score).cast("double")
+    parts = scores.filter(F.col(score).isNotNull()).groupBy(call, whole.alias("_whole")).agg(F.sum(F.exp(F.col(score) - whole)).alias("_sum"))
+    tops = parts.groupBy(call).agg(F.max("_whole").alias("_top"), F.collect_list(F.struct("_whole", "_sum")).alias("_parts"))
+    total = F.aggregate("_parts", F.lit(0.0), lambda a, p: a + p["_sum"] * F.exp(p["_whole"] - F.col("_top")))
+    tops = tops.select(call, "_top", total.alias("_total"))
+    return same_keys(scores, tops, [call], "left").withColumn("probability", F.exp(F.col(score) - F.col("_top")) / F.col("_total")).drop("_top", "_total")
 
 
 def detect_language(scores: DataFrame, call: str = "call_id") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import strip
+from parley.operators.lookup import same_keys
 from parley.operators.ordered import is_hot, ordered, position_block
 
 # Marks that end a sentence, and marks that belong to the next or previous word.
@@ -40,7 +41,7 @@ def trim_long_words(words: DataFrame, keys: list[str], number: str = "word_no",
     """Shorten words at sentence marks to twice the median duration of their window."""
     line = ordered(words, keys, [number], position_block(number), hot).previous(_before=F.col("word"))
     if line.hot:
-        rows = line.rows().join(median_word_duration(words, keys), keys)
+        rows = same_keys(line.rows(), median_word_duration(words, keys), keys)
     else:
         # The window's rows are in one place already; a second pass over the words would cost more.
         duration = F.col("end") - F.col("start")
@@ -128,7 +129,7 @@ def fix_segment_boundaries(segments: DataFrame, words: DataFrame, hot: bool | No
     """
     keys = ["call_id", "segment_no"]
     hot = is_hot(segments, ["call_id"]) if hot is None else hot
-    rows = segments.join(segment_edges(words, keys), keys)
+    rows = same_keys(segments, segment_edges(words, keys), keys)
     too_long = (F.col("w0.end") - F.col("w0.start") > F.col("median") * 2) | F.coalesce(
         F.col("w1.end") - F.col("w0.start") > F.col("median") * 4, F.lit(False))
     rows = rows.withColumns({
@@ -157,7 +158,7 @@ def fix_segment_boundaries(segments: DataFrame, words: DataFrame, hot: bool | No
     chosen = F.when(paused, F.col("_yes")).otherwise(F.col("_no"))
     fixed = line.rows().select(*[c for c in segments.columns if c not in ("start", "end")],
                                "n_words", paused.alias("after_pause"), chosen.alias("_c")).select("*", "_c.*").drop("_c")
-    wordless = segments.join(words.select(*keys).distinct(), keys, "left_anti").withColumns(
+    wordless = same_keys(segments, words.select(*keys).distinct(), keys, "left_anti").withColumns(
         {"n_words": F.lit(0).cast(fixed.schema["n_words"].dataType), "after_pause": F.lit(False)})
     return fixed.unionByName(wordless, allowMissingColumns=True)
 
@@ -168,7 +169,7 @@ def apply_boundaries(words: DataFrame, fixed: DataFrame) -> DataFrame:
     edges = fixed.select(*keys, "n_words", "w0_start", "w0_end", "w1_start", "last_end")
     first, second = F.col("word_no") == 0, F.col("word_no") == 1
     last = F.col("word_no") == F.col("n_words") - 1
-    return words.join(edges, keys).withColumns({
+    return same_keys(words, edges, keys).withColumns({
         "start": F.when(first, F.col("w0_start")).when(second, F.col("w1_start")).otherwise(F.col("start")),
         "end": F.when(last, F.col("last_end")).when(first, F.col("w0_end")).otherwise(F.col("end")),
     }).drop("n_words", "w0_start", "w0_end", "w1_start", "last_end")
@@ -188,13 +189,13 @@ def assign_speakers(words: DataFrame, turns: DataFrame, bucket_s: float = 10.0)
     held = turns.groupBy("call_id", "speaker", F.col("start").alias("ts"), F.col("end").alias("te")).agg(
         F.count(F.lit(1)).alias("_times"))
     held = held.filter("te > ts").withColumn("_bucket", F.explode(buckets("ts", "te")))
-    met = spoken.join(held, ["call_id", "_bucket"]).filter((F.col("ws") < F.col("te")) & (F.col("we") > F.col("ts")))
+    met = same_keys(spoken, held, ["call_id", "_bucket"]).filter((F.col("ws") < F.col("te")) & (F.col("we") > F.col("ts")))
     # A pair meets in every bucket both touch; count it in the first.
     met = met.filter(F.col("_bucket") == F.floor(F.greatest("ws", "ts") / bucket_s))
     overlap = (F.least("we", "te") - F.greatest("ws", "ts")) * F.col("_times")
     spans = met.groupBy("call_id", "word_no", "speaker").agg(F.sum(overlap).alias("overlap"))
     best = spans.groupBy("call_id", "word_no").agg(F.min_by("speaker", F.struct(-F.col("overlap"), F.col("speaker"))).alias("speaker"))
-    return words.join(best, ["call_id", "word_no"], "left")
+    return same_keys(words, best, ["call_id", "word_no"], "left")
 
 
 def split_on_markers(df: DataFrame, marker_from: int, precision: float = 0.02) -> DataFrame:

@@ -16,7 +16,7 @@ from parley.operators.ordered import is_hot, ordered, position_block
 def numbers(spark):
     rng = random.Random(7)
     data = [(key, pos, rng.choice([None, 1, 2, 3])) for key in ("a", "b") for pos in sorted(rng.sample(range(90), 40))]
-    data += [("c", 5, None), ("d", 0, 1)]
+    data += [("c", 5, None), ("d", 0, 1), (None, 0, 2), (None, 3, None), (None, 40, 1), ("e", None, 3), ("e", 2, 1)]
     return spark.createDataFrame(data, "k string, pos long, v int")
 
 

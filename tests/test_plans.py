@@ -37,7 +37,7 @@ def test_scans_are_pruned(spark, name, pushed):
     assert pushed in plan and "props" not in plan
 
 
-@pytest.mark.parametrize("name", ["dedupe_keep_first", "top_topics", "primary_secondary", "extractive_summary"])
+@pytest.mark.parametrize("name", ["dedupe_keep_first", "top_topics", "primary_secondary"])
 def test_ranks_are_limited_before_the_shuffle(spark, name):
     assert plan_of(spark, name).count("WindowGroupLimit") >= 2
 
@@ -58,3 +58,9 @@ def test_many_files_are_not_dealt_out(spark, tmp_path):
 
 def test_shared_folder_is_the_cluster_setting(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("name", ["extractive_summary", "summary_by_chunk"])
+def test_summaries_are_row_work(spark, name):
+    plan = plan_of(spark, name)
+    assert plan.count("FileScan") + plan.count("Scan parquet") == 1 and "hashpartitioning" not in plan and "Sort " not in plan
