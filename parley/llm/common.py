@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Hashable
 from typing import Any
 from uuid import uuid4
@@ -31,8 +32,16 @@ def resident(key: Hashable, make: Callable[[], Any]) -> Any:
 
 
 def let_go() -> None:
-    """Free what an earlier operator left in this worker; workers outlive stages."""
+    """Free what an earlier operator left in this worker, and hand unused memory back to the system: workers outlive
+    stages, and what they once held would count against the executor for good."""
+    import ctypes
+
+    import pyarrow as pa
+
     _RESIDENT.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call and no need for it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -86,11 +95,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+def _placed(values: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """A hash of each value and its place in its run. Every value is mixed before a run's are added up: in a plain
+    polynomial modulo 2**64 the powers of the base cancel out, and long words of few letters have one hash."""
+    return mix((values.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + inside.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -99,8 +107,7 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return np.zeros(0, np.uint64)
     lengths = ends - starts
     inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    picked = values[np.repeat(starts, lengths) + inside].astype(np.uint64) + np.uint64(1)
-    picked *= powers(int(lengths.max()))[inside]
+    picked = _placed(values[np.repeat(starts, lengths) + inside], inside)
     sums = np.add.reduceat(picked, np.cumsum(lengths) - lengths)
     return mix(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -108,9 +115,7 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 def tile_hashes(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """`run_hashes` of runs that cover all values, without copying them."""
     inside = np.arange(len(values), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
-    picked = powers(int(lengths.max()))[inside]
-    picked *= values + np.uint64(1)
-    return mix(np.add.reduceat(picked, starts) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return mix(np.add.reduceat(_placed(values, inside), starts) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -51,3 +51,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = stored(exact_groups(docs, id_col, text_col, largest).where("not kept")
                   .select(F.col(id_col).alias(key), F.col("text_sha256").alias(sha)).distinct(), "gone")
     return docs.join(bounded(gone), F.col(id_col).eqNullSafe(F.col(key)) & (F.sha2(text_of(text_col), 256) == F.col(sha)), "left_anti")
+
+
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of those that repeat both id and text (null as empty), with all columns; which of them is open. Only rows
+    that repeat are shuffled."""
+    key, sha = "__id", "__sha"
+    found = F.sha2(text_of(text_col), 256)
+    twice = stored(docs.groupBy(F.col(id_col).alias(key), found.alias(sha)).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "twice")
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (found == F.col(sha))
+    one = docs.join(bounded(twice), same, "left_semi").withColumn(sha, found).dropDuplicates([id_col, sha]).drop(sha)
+    return docs.join(bounded(twice), same, "left_anti").unionByName(one)

@@ -174,16 +174,19 @@ def _parser(samples: tuple) -> Parser:
     return resident(("parser", samples), lambda: Parser({lang: list(texts) for lang, texts in samples}))
 
 
-def sample(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple:
-    """Texts of every language: `DOCUMENTS` documents in the order of a hash.
+def sample(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple:
+    """Texts of every language: `DOCUMENTS` different texts in the order of a hash of the text alone.
 
-    The ranks are limited before the shuffle, so a language of a third of all rows sends a few from each task.
+    Copies count once, so a group of a third of all rows is one text of the sample. Hashes are made distinct and ranked
+    before the texts, at most `DOCUMENTS` for each language, are fetched; the ranks are limited before the shuffle.
     """
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("at"),
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.xxhash64(text_of(text_col)).alias("at"),
                            F.substring(text_of(text_col), 1, DOCUMENT_CHARS).alias("text")).where("lang is not null")
-    few = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at", "text"))).where(F.col("rank") <= DOCUMENTS)
+    few = rows.select("lang", "at").distinct()
+    few = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).where(F.col("rank") <= DOCUMENTS)
+    texts = rows.join(F.broadcast(few), ["lang", "at"]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
     found: dict[str, list[str]] = {}
-    for row in few.orderBy("lang", "rank").collect():
+    for row in texts.orderBy("lang", "rank").collect():
         found.setdefault(row.lang, []).append(row.text)
     return tuple((lang, tuple(texts)) for lang, texts in sorted(found.items()))
 

@@ -15,6 +15,8 @@ from parley.llm.common import small_batches, stored, text_of
 
 #: Parts into which the documents of one remaining length are dealt before they are numbered.
 SALTS = 64
+#: Bytes of text that are split into words at a time; the arrays beside it take some fifty times as much.
+SLICE = 700_000
 ENTRY = ("length", "lo", "hi", "per", "sequence", "offset", "take", "rest_lo")
 
 
@@ -117,7 +119,7 @@ def pack(docs: DataFrame, vocab_path: str, capacity: int = 1024, end_id: int = 0
         tool = encoder(vocab_path)
         kind = np.uint16 if max(tool.vocab.token_bytes) < 1 << 16 else np.uint32
         for big in batches:
-            for batch in slices(big, "text"):
+            for batch in slices(big, "text", SLICE):
                 flat, at = tool.encode(texts_of(batch.column("text")))
                 sums, rests, totals = [], [], []
                 for lo, hi in zip(at.tolist(), at[1:].tolist()):

@@ -261,6 +261,15 @@ def repeated_spans(texts: DataFrame, parts: int | None = None) -> DataFrame:
     return told.where("string is null").drop("string").unionByName(later)
 
 
+def _whole_letters(raw: bytes, start: int, stop: int) -> dict[str, int]:
+    """A span widened to the borders of letters, so what is left stays valid UTF-8."""
+    while start > 0 and raw[start] & 0xC0 == 0x80:
+        start -= 1
+    while stop < len(raw) and raw[stop] & 0xC0 == 0x80:
+        stop += 1
+    return {"start": start, "stop": stop}
+
+
 def _cut(raw: bytes, spans: list) -> tuple[int, int, bytes]:
     """Removed bytes, removed runs, and what is left."""
     removed, runs, upto, kept = 0, 0, -1, []
@@ -280,7 +289,7 @@ def _cut(raw: bytes, spans: list) -> tuple[int, int, bytes]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
     """Per document: id, `n_bytes`, `n_removed`, `n_spans`, `kept_sha256`; with `keep_columns` all columns of `docs`
-    with the text left over instead (bytes that are no longer UTF-8 at a cut become U+FFFD).
+    with the text left over instead; there cuts are widened to whole letters.
 
     A byte goes if a string of MATCH bytes around it also starts earlier: at a smaller id, or before in the same text.
     Copies of a whole text go without being sorted: all but the smallest id lose everything if they have MATCH bytes.
@@ -309,10 +318,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 raw = (t or "").encode()
                 if copy:
                     own_spans = [{"start": 0, "stop": len(raw)}] if len(raw) >= MATCH else None
+                if keep_columns and own_spans:
+                    own_spans = [_whole_letters(raw, x["start"], x["stop"]) for x in own_spans]
                 removed, runs, left = _cut(raw, own_spans) if own_spans else (0, 0, raw)
                 out.append((len(raw), removed, runs, left, t))
             if keep_columns:
-                kept = pa.array([t if not runs else left.decode("utf-8", "replace") for _, _, runs, left, t in out], pa.string())
+                kept = pa.array([t if not runs else left.decode() for _, _, runs, left, t in out], pa.string())
                 yield pa.record_batch([kept if n == text else batch.column(n) for n in columns], columns)
             else:
                 yield pa.record_batch([batch.column("id"), *(pa.array([x[i] for x in out], pa.int64()) for i in range(3)),
