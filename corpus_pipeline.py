@@ -1,7 +1,13 @@
-"""From raw documents to packed sequences: each stage applies one operator to all that the stage before kept."""
+"""From raw documents to packed sequences: each stage applies one operator to all that the stage before kept.
+
+All stages treat null texts as empty and null ids as one id, return an empty table for an empty one, and pass on the
+columns of `docs` whatever their names. Rows that repeat id and text leave the exact stage once. The packing stage
+returns pieces instead.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +19,25 @@ from parley.llm.queries import vocabulary_path
 from parley.session import shared_dir
 
 
+def under_own_names(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply an operator that adds columns to `docs` under names that none of its columns can clash with."""
+    plain = {name: f"own_{i}" for i, name in enumerate(docs.columns) if name not in ("doc_id", "text", "lang")}
+    return operator(docs.withColumnsRenamed(plain)).withColumnsRenamed({v: k for k, v in plain.items()})
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without text or without a letter go."""
     samples = language.sample(docs.where(~held_out("doc_id", 4)))
-    told = language.identify(docs, samples)
-    return told.where(told["lang_pred"] != language.UNDETERMINED).select(*docs.columns)
+
+    def known(rows: DataFrame) -> DataFrame:
+        return language.identify(rows, samples).where(F.col("lang_pred") != language.UNDETERMINED).select(*rows.columns)
+
+    return under_own_names(docs, known)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
-    return exact.drop_copies(docs)
+    """Of equal texts the document with the smallest id stays, once if its row repeats."""
+    return exact.drop_repeats(exact.drop_copies(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +47,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that also start earlier are cut out of the texts; no document goes, and `n_chars` counts
-    what is left."""
-    cut = suffixes.remove_repeats(docs, keep_columns=True)
+    what is left, where there is such a column."""
+    cut = under_own_names(docs, lambda rows: suffixes.remove_repeats(rows, keep_columns=True))
+    if "n_chars" not in docs.columns:
+        return cut
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
