@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.audio import frame_at, frame_starts, reflect_edges
+from parley.functions.arrays import SCAN_BLOCK, bind
 from parley.functions.text import pieces, sentences, strip
 from parley.operators.ordered import ordered, position_block
 
@@ -69,23 +70,33 @@ def fixed_token_chunks(df: DataFrame, size: int = 1000, text: str = "text") -> D
 
 
 def packed_sentences(text: Column, limit: int = 1000) -> Column:
-    """Greedy chunks: a sentence joins the chunk while the token count stays below `limit`."""
-    sized = F.transform(sentences(text), lambda s: F.struct(s.alias("text"), F.size(pieces(s)).alias("n")))
-    state = "struct<done:array<string>,open:array<string>,n:int>"
-
-    def add(acc: Column, s: Column) -> Column:
-        fits = (acc["n"] + s["n"] < limit) | (F.size(acc["open"]) == 0)
-        return F.when(fits, F.struct(
-            acc["done"].alias("done"), F.concat(acc["open"], F.array(s["text"])).alias("open"),
-            (acc["n"] + s["n"]).alias("n"))
-        ).otherwise(F.struct(
-            F.concat(acc["done"], F.array(F.array_join(acc["open"], "\n"))).alias("done"),
-            F.array(s["text"]).alias("open"), s["n"].alias("n"))).cast(state)
-
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("open"),
-                     F.lit(0).alias("n")).cast(state)
-    return F.aggregate(sized, start, add,
-                       lambda acc: F.concat(acc["done"], F.array(F.array_join(acc["open"], "\n"))))
+    """Greedy chunks: a sentence joins the chunk while the token count stays below `limit`.
+
+    Only the numbers of the sentences that begin a chunk are gathered, in short blocks and a list of blocks, so the work
+    stays linear in the text; the chunks are then cut out.
+    """
+    kind, outer = "struct<n:int,starts:array<int>>", "struct<n:int,starts:array<array<int>>>"
+
+    def add(state: Column, x: Column) -> Column:
+        fits = (x["i"] > 0) & (state["n"] + x["n"] < limit)
+        return F.when(fits, F.struct((state["n"] + x["n"]).alias("n"), state["starts"].alias("starts"))).otherwise(
+            F.struct(x["n"].alias("n"), F.concat(state["starts"], F.array(x["i"])).alias("starts"))).cast(kind)
+
+    def starts(sized: Column) -> Column:
+        def block(state: Column, at: Column) -> Column:
+            begin = F.struct(state["n"].alias("n"), F.array().cast("array<int>").alias("starts")).cast(kind)
+            return bind(F.aggregate(F.slice(sized, at, SCAN_BLOCK), begin, add), lambda done: F.struct(
+                done["n"].alias("n"), F.concat(state["starts"], F.array(done["starts"])).alias("starts")).cast(outer))
+
+        begin = F.struct(F.lit(0).alias("n"), F.array().cast("array<array<int>>").alias("starts")).cast(outer)
+        return F.aggregate(F.sequence(F.lit(1), F.size(sized), F.lit(SCAN_BLOCK)), begin, block, lambda s: F.flatten(s["starts"]))
+
+    def cut(parts: Column) -> Column:
+        sized = F.transform(parts, lambda s, i: F.struct(i.alias("i"), F.size(pieces(s)).alias("n")))
+        return bind(bind(sized, starts), lambda at: F.transform(at, lambda s, nth: F.array_join(
+            F.slice(parts, s + 1, F.coalesce(F.get(at, nth + 1), F.size(parts)) - s), "\n")))
+
+    return F.when(text.isNotNull(), bind(sentences(text), cut))
 
 
 def pack_sentences(df: DataFrame, limit: int = 1000, text: str = "text") -> DataFrame:
