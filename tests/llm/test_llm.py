@@ -446,6 +446,50 @@ def test_fingerprints_of_short_texts_follow_order(spark):
     assert np.mean(alike) == pytest.approx(np.mean(expected), abs=0.03)
 
 
+def plain_fingerprint(text):
+    """Order MinHash by ranking every numbered k-mer under each function."""
+    from xxhash import xxh64_intdigest
+
+    def long(x, seed):
+        return xxh64_intdigest(x.to_bytes(8, "little"), seed)
+
+    def small(x, seed):
+        return xxh64_intdigest((x % 2**32).to_bytes(4, "little"), seed)
+
+    words = [xxh64_intdigest(w.encode(), 42) for w in re.split("[ \\t\\n\\x0B\\f\\r]+", text) if w]
+    seen, kmers = Counter(), []
+    for i in range(max(len(words) - order_minhash.K, 0) + 1 if words else 0):
+        h = 42
+        for w in words[i:i + order_minhash.K]:
+            h = long(w, h)
+        kmers.append(small(seen[h], long(h, 42)))
+        seen[h] += 1
+    best = [{} for _ in range(order_minhash.TUPLES)]  # of each function: place of a k-mer and its value
+    for at, h in enumerate(kmers):
+        for e in range(1, order_minhash.ROUNDS + 1):
+            r = small(e, long(h, 42))
+            best[r % order_minhash.TUPLES].setdefault(at, (e, r >> 12))
+        for j in range(order_minhash.TUPLES):
+            best[j].setdefault(at, (order_minhash.ROUNDS + 1, small(-j, long(h, 42)) >> 12))
+    out = []
+    for j, ranked in enumerate(best if kmers else []):
+        value = 42
+        for at in sorted(sorted(ranked, key=ranked.get)[:order_minhash.TUPLE]):
+            value = long(kmers[at], value)
+        out.append(j << 32 | value & 0xFFFFFFFF)
+    return out
+
+
+def test_fingerprints_against_plain_ranking(spark, texts):
+    rng = np.random.default_rng(4)
+    made = [" ".join(f"w{int(x)}" for x in rng.integers(0, kinds, n)) for kinds, n in [(3, 40), (2, 900), (9999, 1), (9999, 2), (9999, 5),
+                                                                                   (9999, 30), (9999, 700), (9999, 703), (500, 5000), (1, 3000)]]
+    made += ["", " \t\n", "één twee één twee één twee drie", *list(texts.values())[:40]]
+    rows = spark.createDataFrame(list(enumerate(made)), "k int, text string").select("k", order_minhash.fingerprint(F.col("text")).alias("p"))
+    for k, found in rows.collect():
+        assert list(found) == plain_fingerprint(made[k]), made[k][:80]
+
+
 def test_stages(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame([(90_001, None, "en", "s", 0), (90_002, "123 ...", "en", "s", 7)], docs.schema)
