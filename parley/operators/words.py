@@ -57,33 +57,32 @@ def trim_long_words(words: DataFrame, keys: list[str], number: str = "word_no",
     }).drop("_before", "median")
 
 
-def _join_runs(rows: DataFrame, keys: list[str], run: str, number: str, keep: str) -> DataFrame:
-    """One row per run, the one flagged `keep`, with the words of the run joined in order."""
-    whole = Window.partitionBy(*keys, run).orderBy(number).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    joined = rows.withColumn("_joined", F.array_join(F.collect_list("word").over(whole), ""))
-    return joined.filter(keep).withColumn("word", F.col("_joined")).drop("_joined", run, keep)
-
-
 def merge_punctuation(words: DataFrame, keys: list[str], number: str = "word_no", prepended: str = PREPENDED,
                       appended: str = APPENDED, hot: bool | None = None) -> DataFrame:
     """Join opening marks to the next word and closing marks to the previous one.
 
-    A word keeps its own time. Runs are numbered by counting the words that start (closing
-    marks) or end (opening marks) one.
+    A word keeps its own time. A run is opening marks, a word and closing marks; all runs are numbered in one pass and
+    folded by one aggregate. Marks hold no blanks. Null words are left out first, empty ones that stand alone at last.
     """
+    words = words.filter(F.col("word").isNotNull())
     hot = is_hot(words, keys) if hot is None else hot
-    opening = F.col("word").startswith(" ") & _in(prepended, strip(F.col("word")))
     line = ordered(words, keys, [number], position_block(number), hot).following(_after=F.col("word"))
-    line = line.with_columns(_ends=~(opening & F.col("_after").isNotNull()))
-    line = line.running_sum(_words=F.col("_ends").cast("int"))
-    rows = line.rows().withColumn("_run", F.col("_words") - F.col("_ends").cast("int")).drop("_words", "_after")
-    rows = _join_runs(rows, keys, "_run", number, "_ends")
-
-    line = ordered(rows, keys, [number], position_block(number), hot).previous(_before=F.col("word"))
-    glued = _in(appended, F.col("word")) & F.col("_before").isNotNull() & ~F.col("_before").endswith(" ")
-    line = line.with_columns(_starts=F.coalesce(~glued, F.lit(True)))
-    rows = line.running_sum(_run=F.col("_starts").cast("int")).rows().drop("_before")
-    return _join_runs(rows, keys, "_run", number, "_starts").filter(F.col("word") != "")
+    line = line.with_columns(_opening=F.col("word").startswith(" ") & _in(prepended, strip(F.col("word"))) & F.col("_after").isNotNull())
+    line = line.previous(_mark=F.struct(F.col("_opening").alias("opening"), F.col("word").endswith(" ").alias("blank")))
+    opened = F.coalesce(F.col("_mark.opening"), F.lit(False))
+    # An empty word ends as the opening mark before it does.
+    blank = F.col("word").endswith(" ") | ((F.col("word") == "") & opened & F.col("_mark.blank"))
+    line = line.with_columns(_opened=opened, _blank=blank).previous(_blank_before=F.col("_blank"))
+    closing = ~F.col("_opening") & _in(appended, F.col("word")) & F.col("_blank_before").isNotNull() & ~F.col("_blank_before")
+    line = line.with_columns(_starts=(~F.col("_opened") & ~F.coalesce(closing, F.lit(False))).cast("int"))
+    rows = line.running_sum(_run=F.col("_starts")).rows()
+    rest = [c for c in words.columns if c not in (*keys, "word")]
+    place = F.struct(F.col(number))  # not null, so a row without a number counts
+    runs = rows.groupBy(*keys, "_run").agg(
+        F.min_by(F.struct(*rest), F.when(~F.col("_opening"), place)).alias("_own"),
+        F.sort_array(F.collect_list(F.struct(number, "word"))).alias("_words"))
+    return runs.withColumn("word", F.array_join(F.col("_words.word"), "")).filter(F.col("word") != "").select(
+        *(F.col(f"_own.`{c}`").alias(c) if c in rest else F.col(c) for c in words.columns))
 
 
 def segment_edges(words: DataFrame, keys: list[str]) -> DataFrame:

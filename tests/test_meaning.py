@@ -189,3 +189,12 @@ def test_stage_defaults(spark):
     joined = calls.join_stages(base, stage)
     assert rows(joined) == [(1, "bill", "late", "positive"), (2, "Unidentified", "None", "No Sentiment Identified")]
     assert calls.call_report(joined).filter("level = 3").first()["n_calls"] == 2
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_long_and_odd_punctuation_runs(spark, hot):
+    """A run of many marks is one row; nulls go first, an empty word ends as the mark before it."""
+    texts = [" a", *["!"] * 3000, *[" ("] * 500, " b", None, ",", " ", "", ",", " (", "", ",", " ["]
+    df = spark.createDataFrame([(None, i, w, float(i)) for i, w in enumerate(texts)], "call_id long, word_no long, word string, start double")
+    found = [(r["word"], r["start"]) for r in words.merge_punctuation(df, ["call_id"], hot=hot).orderBy("word_no").collect()]
+    assert found == [(" a" + "!" * 3000, 0.0), (" (" * 500 + " b,", 3501.0), (" ", 3505.0), (",", 3506.0), (" (,", 3508.0), (" [", 3510.0)]

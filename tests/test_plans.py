@@ -64,3 +64,8 @@ def test_shared_folder_is_the_cluster_setting(spark):
 def test_summaries_are_row_work(spark, name):
     plan = plan_of(spark, name)
     assert plan.count("FileScan") == 1 and "hashpartitioning" not in plan and "Sort " not in plan
+
+
+def test_punctuation_is_folded_in_one_pass(spark):
+    plan = plan_of(spark, "merge_punctuation")
+    assert plan.count("Exchange hashpartitioning") <= 1 and plan.count("Sort ") <= 2 and plan.count("FileScan") == 1
