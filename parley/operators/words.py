@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import strip
-from parley.operators.lookup import same_keys
+from parley.operators.lookup import is_small, same_keys
 from parley.operators.ordered import is_hot, ordered, position_block
+from parley.session import cut
 
 # Marks that end a sentence, and marks that belong to the next or previous word.
 SENTENCE_MARKS = ".。!！?？"
 PREPENDED = "\"'“¿([{-"
 APPENDED = "\"'.。,，!！?？:：”)]}、"
 
+#: Levels of dyadic time cells above the smallest, for turns and for words, and the farthest time that is told apart.
+TURN_LEVELS, WORD_LEVELS = 40, 8
+FARTHEST_S = 1e15
+
 PAUSE_MEDIANS = 4
 TOLERANCE = 0.5
 
@@ -174,27 +181,87 @@ def apply_boundaries(words: DataFrame, fixed: DataFrame) -> DataFrame:
     }).drop("n_words", "w0_start", "w0_end", "w1_start", "last_end")
 
 
+_CELL = "struct<level:int,cell:bigint>"
+
+
+def _cell(level: Column, cell: Column) -> Column:
+    return F.struct(level.alias("level"), cell.alias("cell")).cast(_CELL)
+
+
+def _above(cell: Column, level: Column) -> Column:
+    """The cell of a level that holds a cell of level 0."""
+    return F.call_function("shiftright", cell, level)
+
+
+def _covering(first: Column, last: Column, top: int) -> Column:
+    """The fewest dyadic cells that make up the cells `first` to `last`: `array<struct<level,cell>>`.
+
+    A cell of level k is 2**k cells of level 0. At most two of each level are needed, at the top level all that remain.
+    """
+    def at(k: Column) -> Column:
+        lo, hi = -_above(-first, k), _above(last + 1, k)  # whole cells of this level: from lo to before hi
+        ends = F.filter(F.array(F.when(F.pmod(lo, F.lit(2)) == 1, lo), F.when(F.pmod(hi, F.lit(2)) == 1, hi - 1)), lambda c: c.isNotNull())
+        here = F.when(lo >= hi, F.array().cast("array<bigint>")).when(k == top, F.sequence(lo, hi - 1)).otherwise(ends)
+        return F.transform(here, lambda c: _cell(k, c))
+
+    levels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(top)), at))
+    return F.when(first == last, F.array(_cell(F.lit(0), first))).otherwise(levels)
+
+
+def _around(first: Column, levels: Sequence[int]) -> Column:
+    """The cells of some levels that hold a cell of level 0."""
+    return F.transform(F.array(*map(F.lit, levels)).cast("array<int>"), lambda k: _cell(k, _above(first, k)))
+
+
+def _apart(cells: Column) -> Column:
+    """The same cells under levels of their own, which never meet the others."""
+    return F.transform(cells, lambda c: _cell(-1 - c["level"], c["cell"]))
+
+
+def turn_cells(turns: DataFrame, bucket_s: float = 10.0) -> DataFrame:
+    """Different turns with how often they occur, the cells they cover, and those around their start."""
+    held = turns.groupBy("call_id", "speaker", F.col("start").alias("ts"), F.col("end").alias("te")).agg(F.count(F.lit(1)).alias("_times"))
+    held = held.filter("te > ts").withColumns({"_t0": _time_cell("ts", bucket_s), "_t1": _time_cell("te", bucket_s)})
+    return held.withColumns({"_cover": _covering(F.col("_t0"), F.col("_t1"), TURN_LEVELS),
+                             "_start": _apart(_around(F.col("_t0"), range(WORD_LEVELS + 1)))})
+
+
+def _time_cell(column: str, bucket_s: float) -> Column:
+    return F.floor(F.greatest(F.least(F.col(column), F.lit(FARTHEST_S)), F.lit(-FARTHEST_S)) / bucket_s).cast("long")
+
+
 def assign_speakers(words: DataFrame, turns: DataFrame, bucket_s: float = 10.0) -> DataFrame:
     """Give each word the speaker whose turns overlap it most; ties go to the first name.
 
-    Words and turns meet in time buckets, so a word is compared with the turns around it and
-    not with all turns of its call. Equal turns are counted before the join.
+    Words and turns meet in dyadic time cells: a turn is stored in the few cells that make it up, a logarithmic number
+    for any length, and a word looks into the cells around its start; turns that start later than a word are met the
+    other way round, in the cells that make up the word. Of the later of both starts just one cell of each kind
+    holds the other, so a pair meets once. Equal turns are counted first and the turns materialised, as words look only
+    into levels that occur. Turns proven to be few are broadcast. Words are read once and shuffled with what they found.
+
+    Words without a length, without a time or without an overlap get no speaker; words and turns without a call belong
+    together; repeated words are rows of their own.
     """
-    def buckets(start: str, end: str) -> Column:
-        return F.sequence(F.floor(F.col(start) / bucket_s), F.floor(F.col(end) / bucket_s))
-
-    spoken = words.select("call_id", "word_no", F.col("start").alias("ws"), F.col("end").alias("we"))
-    spoken = spoken.filter("we > ws").withColumn("_bucket", F.explode(buckets("ws", "we")))
-    held = turns.groupBy("call_id", "speaker", F.col("start").alias("ts"), F.col("end").alias("te")).agg(
-        F.count(F.lit(1)).alias("_times"))
-    held = held.filter("te > ts").withColumn("_bucket", F.explode(buckets("ts", "te")))
-    met = same_keys(spoken, held, ["call_id", "_bucket"]).filter((F.col("ws") < F.col("te")) & (F.col("we") > F.col("ts")))
-    # A pair meets in every bucket both touch; count it in the first.
-    met = met.filter(F.col("_bucket") == F.floor(F.greatest("ws", "ts") / bucket_s))
-    overlap = (F.least("we", "te") - F.greatest("ws", "ts")) * F.col("_times")
-    spans = met.groupBy("call_id", "word_no", "speaker").agg(F.sum(overlap).alias("overlap"))
-    best = spans.groupBy("call_id", "word_no").agg(F.min_by("speaker", F.struct(-F.col("overlap"), F.col("speaker"))).alias("speaker"))
-    return same_keys(words, best, ["call_id", "word_no"], "left")
+    held = cut(turn_cells(turns, bucket_s))
+    levels = sorted(r[0] for r in held.select(F.explode("_cover.level")).distinct().collect())  # at most TURN_LEVELS + 1
+    held = held.select("call_id", "speaker", "ts", "te", "_times", "_t0", F.explode(F.concat("_cover", "_start")).alias("_c")).select(
+        "*", "_c.level", "_c.cell").drop("_c").withColumnsRenamed({"level": "_level", "cell": "_cell"})
+    held = F.broadcast(held) if is_small(held) else held
+    own = words.columns
+    lasting = F.col("end") > F.col("start")
+    rows = words.withColumn("_row", F.monotonically_increasing_id()).withColumns({
+        "_w0": F.when(lasting, _time_cell("start", bucket_s)), "_w1": F.when(lasting, _time_cell("end", bucket_s))})
+    cells = F.concat(_around(F.col("_w0"), levels), _apart(_covering(F.col("_w0"), F.col("_w1"), WORD_LEVELS)))
+    rows = rows.select("_row", *own, "_w0", F.posexplode_outer(F.when(F.col("_w0").isNotNull(), cells)).alias("_nth", "_c"))
+    rows = rows.withColumns({"_level": F.col("_c")["level"], "_cell": F.col("_c")["cell"], "_kept": F.coalesce("_nth", F.lit(0)) == 0}).drop("_c", "_nth")
+    met = same_keys(rows, held.withColumnRenamed("speaker", "_speaker"), ["call_id", "_level", "_cell"], "left")
+    # Equal first cells belong to the turn's cover.
+    counts = (F.col("start") < F.col("te")) & (F.col("end") > F.col("ts")) & ((F.col("_level") >= 0) == (F.col("_t0") <= F.col("_w0")))
+    overlap = F.when(counts, (F.least("end", "te") - F.greatest("start", "ts")) * F.col("_times"))
+    met = met.select("_row", *own, "_speaker", "_kept", overlap.alias("_overlap")).where("_kept or _overlap is not null")
+    spans = met.repartition("_row").groupBy("_row", *own, "_speaker").agg(F.sum("_overlap").alias("_overlap"))
+    best = F.min_by("_speaker", F.when(F.col("_overlap").isNotNull(), F.struct(-F.col("_overlap"), F.col("_speaker"))))
+    return spans.groupBy("_row", *own).agg(best.alias("speaker")).drop("_row")
 
 
 def split_on_markers(df: DataFrame, marker_from: int, precision: float = 0.02) -> DataFrame:
