@@ -18,7 +18,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import distinct, ranges, resident, text_of, tile_hashes
+from parley.llm.common import distinct, ranges, resident, stored, text_of, tile_hashes
 
 #: Classes of characters by which text is split before merging.
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -26,8 +26,8 @@ SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Endings that an apostrophe starts.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Words kept by the lexicon, the most frequent of all documents.
-LEXICON_WORDS = 32_768
+#: The lexicon keeps words that make up at least one in so many of all words, and so at most so many.
+LEXICON_WORDS = 65_536
 #: Words of the rest whose ids a task remembers; the memory is emptied beyond that.
 REMEMBERED = 300_000
 #: Words of more bytes are merged one by one with a heap.
@@ -465,12 +465,13 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def ship_lexicon(docs: DataFrame, vocab_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """Compile the most frequent words of all documents and give every executor the file; returns its name.
 
-    At most `words` words come to the driver, each of at most 255 bytes.
+    Frequent is a word that makes up at least one in `words` of all, so at most `words` words come to the driver
+    whatever the documents hold, each of at most 255 bytes, and no task sends others.
     """
     spark = docs.sparkSession
-    top = (word_counts(docs, text_col).where(F.octet_length("word").between(1, 255))
-           .orderBy(F.desc("n"), "word").limit(words))
-    found = sorted(row.word.encode() for row in top.collect())
+    counts = stored(word_counts(docs, text_col).where(F.octet_length("word").between(1, 255)), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = sorted(row.word.encode() for row in counts.where(F.col("n") * words >= total).select("word").collect())
     name = f"lexicon-{uuid4().hex}"  # Spark takes a name once
     made = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     build_lexicon(found, vocabulary(vocab_path), made)
