@@ -69,3 +69,10 @@ def test_summaries_are_row_work(spark, name):
 def test_punctuation_is_folded_in_one_pass(spark):
     plan = plan_of(spark, "merge_punctuation")
     assert plan.count("Exchange hashpartitioning") <= 1 and plan.count("Sort ") <= 2 and plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["pii_spans", "trim_long_words", "merge_punctuation", "redact_names"])
+def test_row_work_is_not_repeated_before_it_is_dealt_out(spark, name):
+    """No inferred filter on an exploded array repeats the expressions and searches below the exchange."""
+    below = [line for line in plan_of(spark, name).split("\n") if "Filter" in line]
+    assert not any("regexp_extract_all" in line for line in below)
