@@ -58,9 +58,11 @@ def nested_segments(df: DataFrame, fields: list[str], call: str = "call_id", num
 
 def token_chunks(text: Column, size: int = 1000) -> Column:
     """Chunks of `size` white-space tokens, joined by blanks."""
-    tokens = pieces(text)
-    starts = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens), F.lit(size)))
-    return F.transform(starts, lambda s: F.array_join(F.slice(tokens, s, size), " "))
+    def cut(tokens: Column) -> Column:
+        starts = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens), F.lit(size)))
+        return F.transform(starts, lambda s: F.array_join(F.slice(tokens, s, size), " "))
+
+    return bind(pieces(text), cut)  # split once, not for every chunk
 
 
 def fixed_token_chunks(df: DataFrame, size: int = 1000, text: str = "text") -> DataFrame:

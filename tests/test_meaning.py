@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from parley.operators import hypotheses, responses, sentiment, topics, words
+from parley.operators import hypotheses, responses, segments, sentiment, topics, words
 from parley.plans import calls
 
 
@@ -198,3 +198,12 @@ def test_long_and_odd_punctuation_runs(spark, hot):
     df = spark.createDataFrame([(None, i, w, float(i)) for i, w in enumerate(texts)], "call_id long, word_no long, word string, start double")
     found = [(r["word"], r["start"]) for r in words.merge_punctuation(df, ["call_id"], hot=hot).orderBy("word_no").collect()]
     assert found == [(" a" + "!" * 3000, 0.0), (" (" * 500 + " b,", 3501.0), (" ", 3505.0), (",", 3506.0), (" (,", 3508.0), (" [", 3510.0)]
+
+
+def test_chunks_split_a_text_once(spark):
+    text = " ".join(f"w{i}" for i in range(25))
+    df = spark.createDataFrame([(1, text), (2, " "), (3, None)], "id int, text string")
+    found = df.select("id", segments.token_chunks(F.col("text"), 10).alias("chunks"))
+    assert [c.split() for c in found.where("id = 1").first().chunks] == [[f"w{i}" for i in range(a, min(a + 10, 25))] for a in (0, 10, 20)]
+    assert not [r.chunks for r in found.where("id > 1").collect() if r.chunks]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
