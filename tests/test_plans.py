@@ -76,3 +76,8 @@ def test_row_work_is_not_repeated_before_it_is_dealt_out(spark, name):
     """No inferred filter on an exploded array repeats the expressions and searches below the exchange."""
     below = [line for line in plan_of(spark, name).split("\n") if "Filter" in line]
     assert not any("regexp_extract_all" in line for line in below)
+
+
+def test_punctuation_is_sorted_once_for_its_aggregate(spark):
+    plan = plan_of(spark, "merge_punctuation")
+    assert "ObjectHashAggregate" not in plan and plan.count("SortAggregate") == 1
