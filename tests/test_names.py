@@ -58,3 +58,17 @@ def test_names_and_patterns_resolve_together(spark):
     assert names.redact_names(df, listed).first().redacted == "<PERSON>, SSN <US_SSN>, mail <EMAIL_ADDRESS>"
     assert names.redact_names(df, listed.limit(0)).first().redacted == "<TITLE> Ann Lee, SSN <US_SSN>, mail <EMAIL_ADDRESS>"
     assert names.redact_names(df.limit(0), listed).collect() == []
+
+
+def test_names_that_begin_alike_do_not_multiply(spark, monkeypatch):
+    met, plain = [], names.lookup
+
+    def counted(*given, **named):
+        out = plain(*given, **named)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(names, "lookup", counted)
+    listed = spark.createDataFrame([(f"the n{i}", "PERSON") for i in range(300)] + [("the a", "PERSON")], "name string, entity string")
+    found = names.name_spans(spark.createDataFrame([("the a " * 50,)], "text string"), listed)
+    assert max(met) <= 100 and [(s.start, s.end) for s in found.first().spans] == [(6 * i, 6 * i + 5) for i in range(50)]
