@@ -15,7 +15,7 @@ from parley.operators.sentiment import LEXICON, segment_sentiment_mode
 from parley.operators.summary import summarised
 from parley.operators.topics import match_topics, primary_secondary, softmax_scores, topic_list
 from parley.plans.stages import StageStore, content_digests, table_digest
-from parley.session import cut
+from parley.session import cut, spread
 
 TEXT_DEFAULTS = {"summary": NO_SUMMARY, "primary_topic": "Unidentified", "secondary_topic": "None",
                  "sentiment": NO_SENTIMENT}
@@ -73,7 +73,7 @@ def process_calls(segments: DataFrame, vectors: DataFrame, topics: DataFrame, na
     listed, known = table_digest(names, ["name", "entity"]), table_digest(topics, ["topic", "vector"])
 
     def redacted(some: DataFrame) -> DataFrame:
-        rows = same_keys(segments.select("call_id", "segment_no", "text"), some, call, "left_semi")
+        rows = spread(same_keys(segments.select("call_id", "segment_no", "text"), some, call, "left_semi"))
         return redact_names(rows, names).select("call_id", "segment_no", F.col("redacted").alias("text"))
 
     clean = store.run("redacted", talk, redacted, listed)
