@@ -8,12 +8,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm.bpe import slices
-from parley.llm.common import blank_words, mix, ranges, run_hashes, stored, text_of, utf8_batch
+from parley.llm.common import blank_words, mix, ranges, run_hashes, shuffles_removed, text_of, utf8_batch
+from parley.llm.common import stored_lean as stored
 
 #: How often a word or an n-gram must occur to be a state, at any size of the training text.
 LEAST = 2
@@ -23,6 +25,8 @@ GRAM_SHARE = 5e-7
 ORDER = 3
 #: Bits of a broadcast filter that spares the join most n-grams that are not in the table; a power of two.
 FILTER_BITS = 1 << 27
+#: Ranges of hashes for each shuffle partition, and rows that a task gathers before it deals them out.
+BUCKETS_EACH, PENDING = 8, 2_000_000
 #: Tokens that one lane of the traversal reads; lanes run side by side.
 LANE = 256
 #: Hashes that stand for a text's start and its end, and the bits of a word's number in an n-gram's key.
@@ -218,26 +222,84 @@ class Model:
         return np.bincount(owner, score, len(sizes))
 
 
-def _counted(rows: DataFrame, keys_of, names: list[str]) -> DataFrame:
-    """Sum over all texts of what `keys_of` finds in a batch, a hash that tells apart and columns `names`: those, `n`."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for batch in slices(big, "text"):
-                keys, *columns = keys_of(*tokens(batch.column("text")))
-                _, at, n = np.unique(keys, return_index=True, return_counts=True)
-                yield pa.record_batch([*(pa.array(c[at].view(np.int64)) for c in columns), pa.array(n)], [*names, "n"])
+def _buckets(spark: SparkSession) -> int:
+    """Ranges of hashes that n-grams are dealt out by; they grow with the shuffle partitions and so with the input."""
+    return BUCKETS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    return rows.mapInArrow(count, "".join(f"{c} long, " for c in names) + "n long").groupBy(*names).agg(F.sum("n").alias("n"))
 
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
+def _dealt(keys: np.ndarray, buckets: int, columns: list[np.ndarray]) -> list[pa.Array]:
+    """Numbers of the buckets that sorted keys fall into, and for each one its part of all columns, one after the other.
+
+    The first bytes of all numbers come together, then the second ones and so on, and keys as steps from one to the
+    next, so that the many zeros are compressed away on disk.
+    """
+    ends = np.flatnonzero(np.diff(_bucket(keys, buckets), append=np.uint64(buckets))) + 1
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+
+    def part(column: np.ndarray, lo: int, hi: int) -> bytes:
+        values = np.diff(column[lo:hi], prepend=column.dtype.type(0)) if column is keys else column[lo:hi]
+        return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+    return [pa.array(_bucket(keys[starts], buckets).astype(np.int32)),
+            pa.array([b"".join(part(c, lo, hi) for c in columns) for lo, hi in zip(starts, ends)], pa.binary())]
 
-def _keyed(counts: DataFrame) -> DataFrame:
-    """`a`, `b`, `n` with the hash of the n-gram as `key`."""
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(c).to_numpy().view(np.uint64) for c in "ab")
-            yield pa.record_batch([pa.array(pair(a, b).view(np.int64)), *batch.columns], ["key", *batch.schema.names])
 
-    return counts.mapInArrow(add, "key long, a long, b long, n long")
+def _undealt(parts: list[bytes], types: list[type], keyed: bool) -> list[np.ndarray]:
+    """The columns of all parts that `_dealt` made; whether the first one is the keys."""
+    sizes = [np.dtype(t).itemsize for t in types]
+    out: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in types]
+    for part in parts:
+        n, at = len(part) // sum(sizes), 0
+        for k, (t, size) in enumerate(zip(types, sizes)):
+            values = np.frombuffer(part, np.uint8, n * size, at).reshape(size, n).T.copy().view(t).reshape(n)
+            out[k].append(np.cumsum(values, dtype=t) if keyed and k == 0 else values)
+            at += n * size
+    return [np.concatenate(c) for c in out]
+
+
+def _counted(rows: DataFrame, keys_of, names: list[str], least: int = 1) -> DataFrame:
+    """Sum over all texts of what `keys_of` finds in a batch, a hash that tells apart and columns `names`: `key`, those,
+    and `n`, if it is `least` or more. With columns the hash must be their `pair`; without, they are the hash.
+
+    Tasks count `PENDING` tokens at a time and send one packed row for each bucket of hashes.
+    """
+    buckets = _buckets(rows.sparkSession)
+    types = [np.uint64] * max(len(names), 1) + [np.uint32]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _pending((keys_of(*tokens(batch.column("text"))) for big in batches for batch in slices(big, "text"))):
+            keys, at, n = np.unique(found[0], return_index=True, return_counts=True)
+            columns = [c[at] for c in found[1:]] or [keys]
+            yield pa.record_batch(_dealt(keys, buckets, [*columns, n.astype(np.uint32)]), ["bucket", "data"])
+
+    def add(table: pa.Table) -> pa.Table:
+        *columns, n = _undealt(table["data"].to_pylist(), types, not names)
+        keys = pair(*columns) if names else columns[0]
+        order = np.argsort(keys)
+        first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
+        n = np.add.reduceat(n[order].astype(np.int64), first)
+        first, n = order[first[n >= least]], n[n >= least]
+        return pa.table([*(pa.array(c[first].view(np.int64)) for c in ([keys, *columns] if names else [keys])), pa.array(n)], ["key", *names, "n"])
+
+    return (rows.mapInArrow(count, "bucket int, data binary").groupBy("bucket")
+            .applyInArrow(add, "key long, " + "".join(f"{c} long, " for c in names) + "n long"))
+
+
+def _pending(batches: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """Columns of batches put together until they have `PENDING` rows; none is empty."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        if len(batch[0]):
+            held.append(batch)
+        if sum(len(b[0]) for b in held) >= PENDING:
+            yield [np.concatenate(c) for c in zip(*held)]
+            held = []
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
 
 
 def _costs(grams: DataFrame) -> DataFrame:
@@ -256,7 +318,8 @@ def _filter(keys: DataFrame) -> np.ndarray:
             mask = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first) if len(bit) else bit
             yield pa.record_batch([pa.array(at.view(np.int64)), pa.array(mask.view(np.int64))], ["at", "mask"])
 
-    found = keys.mapInArrow(bits, "at long, mask long").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    with shuffles_removed(keys.sparkSession):
+        found = keys.mapInArrow(bits, "at long, mask long").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
     out = np.zeros(FILTER_BITS // 64, np.uint64)
     out[found["at"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
     return out
@@ -271,7 +334,7 @@ def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame
     arc. So each n-gram can be looked up by itself, in the automaton or in the tables.
     """
     rows = training.select(text_of(text_col).alias("text"))
-    words = stored(_counted(rows, lambda words, upto: (words, words), ["key"]), "words")
+    words = stored(_counted(rows, lambda words, upto: [words], []), "words")
     total, kinds, once, texts = words.agg(F.sum("n"), F.count("*"), F.sum((F.col("n") == 1).cast("long")),
                                           F.sum(F.when(F.col("key") == int(END), F.col("n")))).first()
     total, once, texts = int(total or 0), int(once or 0), int(texts or 1)
@@ -291,11 +354,12 @@ def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame
             may = passes(shared.value, a) & passes(shared.value, b)
             return [x[may] for x in (keys, a, b)]
 
-        counts = _keyed(_counted(rows, keys_of, ["a", "b"]).where(F.col("n") >= LEAST))
+        counts = _counted(rows, keys_of, ["a", "b"], LEAST)
         known = (counts.join(below.select(F.col("key").alias("a"), F.col("n").alias("all")), "a")
                  .join(below.select(F.col("key").alias("b"), F.col("log").alias("low")), "b")
                  .select("key", "a", "b", "n", F.log10((F.col("n") - 0.5) / F.col("all")).alias("log"), "low"))
         known = stored(known, "known")
+        shared.destroy()  # its file would stay on every machine
         found.append(known)
         arcs.append(stored(_costs(known), "costs"))
         below = known.select("key", "n", "log")
@@ -352,46 +416,83 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     """id, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score` for every row of `docs`.
 
     The automaton of the frequent words and n-grams goes to every task, bounded by their share of all tokens. The
-    others take their counts and gains from the stored table: their hashes are joined with it, and what they gain is
-    summed per row.
+    others take their counts and gains from the stored table: their hashes are packed by bucket and meet the bucket's
+    part of the table, and what they gain is summed per row.
 
     Null texts count as empty: one token, the end. Null ids and repeated rows are scored as rows of their own; an
     empty table gives an empty result; without training text every word is unseen and weighs nothing. Columns of
     `docs` other than id and text are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
-        upto = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
-        return pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(values.view(np.int64)))
+    spark = docs.sparkSession
+    shared, buckets, size = spark.sparkContext.broadcast(model), _buckets(spark), float(model.total + model.kinds + 1)
+    names = ["bucket", "data", "row", "id", "n_tokens", "known", "base", "gained", "unseen"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = shared.value
-        for big in batches:
-            for batch in slices(big, "text"):
-                words, upto = tokens(batch.column("text"))
-                place, numbers = tool.numbers(words, upto)
-                owner = np.repeat(np.arange(len(batch)), np.diff(upto))
-                known = place >= 0
-                base = np.zeros(len(words))
-                base[known] = tool.base_logs(tool.counts[place[known]])
-                yield pa.record_batch([batch.column("id"), pa.array(np.diff(upto)), pa.array(np.bincount(owner, known, len(batch)).astype(np.int64)),
-                                       pa.array(np.bincount(owner, base, len(batch))), pa.array(tool.traverse(place, numbers, upto)),
-                                       lists(words[~known], owner[~known], len(batch)), lists(*tool.missed(words, upto, owner), len(batch))],
-                                      ["id", "n_tokens", "known", "base", "gained", "rest", "longer"])
-
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+        tool, told = shared.value, []
+
+        def looked_up() -> Iterator[list[np.ndarray]]:
+            for big in batches:
+                for batch in slices(big, "text"):
+                    words, upto = tokens(batch.column("text"))
+                    place, numbers = tool.numbers(words, upto)
+                    rows, n = batch.column("row").to_numpy(), len(batch)
+                    owner = np.repeat(np.arange(n), np.diff(upto))
+                    known = place >= 0
+                    base = np.zeros(len(words))
+                    base[known] = tool.base_logs(tool.counts[place[known]])
+                    told.append(pa.record_batch([
+                        pa.array(_bucket(mix(rows), buckets).astype(np.int32)), pa.nulls(n, pa.binary()), batch.column("row"), batch.column("id"),
+                        pa.array(np.diff(upto)), pa.array(np.bincount(owner, known, n).astype(np.int64)), pa.array(np.bincount(owner, base, n)),
+                        pa.array(tool.traverse(place, numbers, upto)), pa.array(np.bincount(owner, ~known, n).astype(np.int64))], names))
+                    longer, whose = tool.missed(words, upto, owner)
+                    yield [np.concatenate([words[~known], longer]), rows[np.concatenate([owner[~known], whose])]]
+
+        for keys, rows in _pending(looked_up()):
+            yield from told
+            schema = told[0].schema
+            told.clear()
+            order = np.argsort(keys)
+            keys, first = keys[order], int(rows.min())  # rows of a task are numbered one after the other
+            number, data = _dealt(keys, buckets, [keys, (rows[order] - first).astype(np.uint32)])
+            blank = [pa.nulls(len(number), t) for t in schema.types[3:]]
+            yield pa.record_batch([number, data, pa.array(np.full(len(number), first)), *blank], names)
+        yield from told
+
+    def look_up(asked: pa.Table, table: pa.Table) -> pa.Table:
+        """What the tables add to the rows: for each row that the bucket asks for, how many words they know and what these
+        and longer n-grams gain; and what the rows have already."""
+        blobs = asked.filter(pc.is_valid(asked["data"]))
+        keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for data, first in zip(blobs["data"].to_pylist(), blobs["row"].to_pylist()):
+            key, row = _undealt([data], [np.uint64, np.uint32], True)
+            keys.append(key)
+            rows.append(row + np.int64(first))
+        keys, rows = np.concatenate(keys), np.concatenate(rows)
+        held = table["key"].to_numpy().view(np.uint64)
+        order = np.argsort(held)
+        at = places(held[order], keys)
+        at, rows = order[at[at >= 0]], rows[at >= 0]
+        n, gain = pc.fill_null(table["n"], -1).to_numpy()[at], table["gain"].to_numpy()[at]
+        rows, which = np.unique(rows, return_inverse=True)
+        word = n >= 0
+        added = [rows, *(np.bincount(which, x, len(rows)) for x in (word, np.where(word, np.log10((np.maximum(n, 0) + 1) / size), 0.0), gain))]
+        own = asked.filter(pc.is_null(asked["data"])).select(names[2:])
+        none = len(own)
+        out = [(own[c], pa.nulls(len(rows), own.schema.field(c).type)) for c in names[3:]]
+        more = [(pa.array(np.zeros(none, t)), pa.array(x.astype(t))) for x, t in zip(added[1:], (np.int64, float, float))]
+        both = [pa.chunked_array([*(x.chunks if isinstance(x, pa.ChunkedArray) else [x]), y.cast(x.type)]) for x, y in [(own["row"], pa.array(added[0])), *out, *more]]
+        return pa.table(both, [*names[2:], "rest_known", "rest_base", "rest_gain"])
+
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     kind = rows.schema["id"].dataType.simpleString()
-    part = stored(rows.mapInArrow(run, f"id {kind}, n_tokens long, known long, base double, gained double, rest array<long>, longer array<long>"), "scored")
-    part = part.withColumn("row", F.monotonically_increasing_id())
-    gains = counts.unionByName(model.longer.withColumn("n", F.lit(None).cast("long")))
-    base = F.log10((F.col("n") + 1) / F.lit(float(model.total + model.kinds + 1)))
-    rest = (part.select("row", F.explode(F.concat("rest", "longer")).alias("key")).join(gains, "key").groupBy("row")
-            .agg(F.count("n").alias("rest_known"), F.sum(base).alias("rest_base"), F.sum("gain").alias("rest_gain")))
-    rest_known = F.coalesce("rest_known", F.lit(0))
-    unseen = F.col("n_unseen") - rest_known
-    zero = F.lit(0.0)
-    return part.withColumn("n_unseen", F.size("rest")).drop("rest", "longer").join(rest, "row", "left").select(
-        F.col("id").alias(id_col), "n_tokens", (F.col("known") + rest_known).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest_base", zero) + unseen * F.lit(float(-np.log10(model.total + model.kinds + 1)))).alias("base_score"),
-        (F.col("gained") + F.coalesce("rest_gain", zero) + unseen * F.lit(float(np.log10(model.unseen())))).alias("score"))
+    columns = f"row long, id {kind}, n_tokens long, known long, base double, gained double, unseen long"
+    asked = rows.mapInArrow(run, f"bucket int, data binary, {columns}")
+    bucket = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long"), 32).cast("int")
+    gains = counts.unionByName(model.longer.withColumn("n", F.lit(None).cast("long"))).select(bucket.alias("bucket"), "key", "n", "gain")
+    told = asked.groupBy("bucket").cogroup(gains.groupBy("bucket")).applyInArrow(look_up, f"{columns}, rest_known long, rest_base double, rest_gain double")
+    sums = told.groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), *(F.sum(c).alias(c) for c in told.columns[2:]))
+    unseen = F.col("unseen") - F.col("rest_known")
+    return sums.select(
+        F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.col("rest_known")).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
+        (F.col("base") + F.col("rest_base") + unseen * F.lit(float(-np.log10(size)))).alias("base_score"),
+        (F.col("gained") + F.col("rest_gain") + unseen * F.lit(float(np.log10(model.unseen())))).alias("score"))

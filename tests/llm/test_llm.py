@@ -12,7 +12,7 @@ from oracle import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parley.llm import bpe, classes, exact, jaccard, language, links, ngram, order_minhash, packing, queries, suffixes, warc
+from parley.llm import bpe, classes, common, exact, jaccard, language, links, ngram, order_minhash, packing, queries, suffixes, warc
 
 SF = "/root/testdata/sf0.001"
 VOCAB = queries.vocabulary_path()
@@ -400,6 +400,34 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
             assert r["score"] == pytest.approx(sum(math.log10(weight(tuple(line[max(0, k - 2):k + 1]))) for k in range(1, len(line)))), share
 
 
+def test_shuffles_of_learning_are_removed_and_no_hashes_of_texts_stored(spark, monkeypatch):
+    """Looked-up hashes go straight to their buckets; of stored tables only the files stay, not the shuffles they came from."""
+    names, cleaned, write = [], [], ngram.stored
+
+    def noted(df, name):
+        names.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(ngram, "stored", noted)
+    monkeypatch.setattr(common, "stored", lambda df, name, plain=common.stored: cleaned.append(spark.conf.get(common.SHUFFLE_CLEANUP)) or plain(df, name))
+    rng = np.random.default_rng(3)
+    docs = spark.createDataFrame([(i, " ".join(f"w{int(k)}" for k in rng.zipf(1.3, 50))) for i in range(20)], "doc_id long, text string")
+    assert ngram.score(docs, *ngram.learn(docs)).count() == 20
+    assert "scored" not in names and cleaned == ["true"] * len(names)
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == "false"
+
+
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 1 << 64, 1000, dtype=np.uint64))
+    rows = np.arange(len(keys), dtype=np.uint32)
+    number, data = ngram._dealt(keys, 24, [keys, rows])
+    assert len(number) == 24
+    back = [ngram._undealt([d], [np.uint64, np.uint32], True) for d in data.to_pylist()]
+    assert np.array_equal(np.concatenate([b[0] for b in back]), keys) and np.array_equal(np.concatenate([b[1] for b in back]), rows)
+    assert all(np.all(ngram._bucket(b[0], 24) == k) for k, b in zip(number.to_pylist(), back))
+
+
 def test_fingerprints(spark, texts):
     found = {r["doc_id"]: r for r in run(spark, "op10_order_minhash")}
     ids = sorted(texts, reverse=True)
