@@ -518,6 +518,19 @@ def test_fingerprints_against_plain_ranking(spark, texts):
         assert list(found) == plain_fingerprint(made[k]), made[k][:80]
 
 
+def test_sorted_draws_hold_no_more_than_key_and_place(spark, capsys):
+    """Hundreds of draws are sorted for each text, so the hashes of k-mers are taken only for the chosen ones."""
+    capsys.readouterr()
+    spark.createDataFrame([("a b",)], "text string").select(order_minhash.fingerprint(F.col("text"))).explain()
+    plan = capsys.readouterr().out
+    starts = [m.end() for m in re.finditer(r"struct\(q,", plan)]
+    assert starts
+    for start in starts:
+        depth = np.cumsum([(c == "(") - (c == ")") for c in plan[start:]])
+        draw = plan[start:start + int(np.argmax(depth < 0))]
+        assert ", at, " in draw and ", h, " not in draw
+
+
 def test_stages(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame([(90_001, None, "en", "s", 0), (90_002, "123 ...", "en", "s", 7)], docs.schema)
