@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm.bpe import slices
-from parley.llm.common import blank_words, mix, ranges, run_hashes, shuffles_removed, text_of, utf8_batch
+from parley.llm.common import blank_words, let_go, mix, ranges, removed, shuffles_removed, small_batches, text_of, utf8_batch, word_hashes
 from parley.llm.common import stored_lean as stored
 
 #: How often a word or an n-gram must occur to be a state, at any size of the training text.
@@ -23,12 +23,12 @@ LEAST = 2
 #: counts of one order sum to at most all tokens, there are at most 1 / share of each: the bound of a broadcast.
 GRAM_SHARE = 5e-7
 ORDER = 3
-#: Bits of a broadcast filter that spares the join most n-grams that are not in the table; a power of two.
-FILTER_BITS = 1 << 27
+#: Bits of a broadcast filter that spares the join most n-grams that are not in the table, and blocks they are merged in; powers of two.
+FILTER_BITS, FILTER_BLOCKS = 1 << 27, 64
 #: Ranges of hashes for each shuffle partition, and rows that a task gathers before it deals them out.
-BUCKETS_EACH, PENDING = 8, 2_000_000
+BUCKETS_EACH, PENDING = 1, 1_000_000
 #: Tokens that one lane of the traversal reads; lanes run side by side.
-LANE = 256
+LANE = 64
 #: Hashes that stand for a text's start and its end, and the bits of a word's number in an n-gram's key.
 START, END, WORD_BITS = np.uint64(0), np.uint64(1), 22
 LOWER = np.arange(256, dtype=np.uint8)
@@ -39,7 +39,7 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, A-Z lower-cased, each text closed by `END`; and where each text starts."""
     data, at = utf8_batch(column)
     starts, ends, first = blank_words(data, at)
-    words = run_hashes(LOWER[data], starts, ends)
+    words = word_hashes(LOWER[data], starts, ends)
     words[words <= END] = np.uint64(2)
     sizes = np.diff(first) + 1
     upto = np.concatenate([[0], np.cumsum(sizes)])
@@ -56,8 +56,8 @@ def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def grams(words: np.ndarray, upto: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the n-gram that ends at each token: hash, hash of its words but the last, and of those but the first.
+def grams(words: np.ndarray, upto: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the n-gram that ends at each token: hash of its words but the last, and of those but the first; its own is their `pair`.
 
     In front of a text stands its start, so a text's first token ends no n-gram of three.
     """
@@ -65,12 +65,12 @@ def grams(words: np.ndarray, upto: np.ndarray, order: int) -> tuple[np.ndarray,
         before = np.empty_like(words)
         before[1:] = words[:-1]
         before[upto[:-1]] = START
-        return pair(before, words), before, words
-    pairs, _, _ = grams(words, upto, 2)
+        return before, words
+    pairs = pair(*grams(words, upto, 2))
     inside = np.ones(len(words), bool)
     inside[upto[:-1]] = False
     at = np.flatnonzero(inside)
-    return pair(pairs[at - 1], pairs[at]), pairs[at - 1], pairs[at]
+    return pairs[at - 1], pairs[at]
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -96,7 +96,7 @@ class Model:
     frequent: np.ndarray  # number among the frequent words, or -1
     grams: list[np.ndarray]  # by order from 2: sorted keys, number of the n-gram before << WORD_BITS | number of the word
     gram_counts: list[np.ndarray]
-    held: np.ndarray | None = None  # sorted hashes of all these n-grams
+    first: np.ndarray | None = None  # first state of contexts of 1, 2, .. words
     seen: np.ndarray | None = None  # filter: bits at the hashes of all n-grams in the table
     arcs: np.ndarray | None = None  # sorted keys: state << WORD_BITS | number of the word
     weight: np.ndarray | None = None  # log10 probability of each arc
@@ -126,26 +126,25 @@ class Model:
         place = places(self.words, words)
         return place, np.where(place >= 0, self.frequent[place] if len(self.frequent) else -1, -1)
 
-    def missed(self, words: np.ndarray, upto: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the n-grams that the automaton lacks and the table may have, and their texts."""
+    def missed(self, words: np.ndarray, upto: np.ndarray, owner: np.ndarray, read: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the n-grams that the automaton lacks and the table may have, and their texts; `read` is from `traverse`."""
         found, texts = [], []
         for order in range(2, ORDER + 1):
-            keys, _, _ = grams(words, upto, order)
-            whose = owner if len(keys) == len(words) else np.delete(owner, upto[:-1])
-            may = np.flatnonzero(passes(self.seen, keys))
-            may = may[places(self.held, keys[may]) < 0]
+            before, last = grams(words, upto, order)
+            at = np.arange(len(words)) if len(last) == len(words) else np.delete(np.arange(len(words)), upto[:-1])
+            lacks = np.flatnonzero(read[at] < order)
+            keys = pair(before[lacks], last[lacks])
+            may = passes(self.seen, keys)
             found.append(keys[may])
-            texts.append(whose[may])
-        found, texts = np.concatenate(found), np.concatenate(texts)
-        order = np.argsort(texts, kind="stable")
-        return found[order], texts[order]
+            texts.append(owner[at[lacks[may]]])
+        return np.concatenate(found), np.concatenate(texts)
 
     def link(self, texts: int, costs: list[np.ndarray]) -> None:
         """Build the automaton from the counts; `texts` is how often a text's start was seen, `costs` are the log10
         weights of the failure arcs by length of the context, which also count n-grams that are not sent."""
         number = np.flatnonzero(self.frequent >= 0)  # places of the frequent words, whose numbers start at 1
         count1 = np.concatenate([[texts], self.counts[number]]).astype(float)
-        first = np.cumsum([1, len(count1), *(len(g) for g in self.grams)])  # first state of contexts of 1, 2, .. words
+        self.first = first = np.cumsum([1, len(count1), *(len(g) for g in self.grams)])
         states = int(first[ORDER - 1])
         self.fail, self.cost = np.zeros(states, np.int64), np.zeros(states)
         arcs, weight, target = [], [], []
@@ -174,8 +173,9 @@ class Model:
             self.cost_all += self.cost[at]
             at = self.fail[at]
 
-    def traverse(self, place: np.ndarray, frequent: np.ndarray, upto: np.ndarray) -> np.ndarray:
-        """log10 probability of each text without what its unknown words weigh themselves.
+    def traverse(self, place: np.ndarray, frequent: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each text without what its unknown words weigh themselves; and for each token the words of the
+        longest n-gram that the automaton holds and that ends there.
 
         Lanes of `LANE` tokens run from left to right, each carrying a state. A lane inside a text first reads the
         tokens before it without counting them: a state knows no more than ORDER - 1 words.
@@ -192,7 +192,7 @@ class Model:
         known = place >= 0
         own_log[known] = self.word_logs(self.counts[place[known]])
         state = np.where(nth == 0, 1 if len(self.fail) > 1 else 0, 0)
-        score = np.zeros(len(lo))
+        score, read = np.zeros(len(lo)), np.zeros(len(place), np.int8)
         for step in range(1 - ORDER, LANE):
             at = lo + step
             live = np.flatnonzero((at < hi) & ((step >= 0) | (nth > 0)))
@@ -208,6 +208,8 @@ class Model:
                 arc = places(self.arcs, s[todo] << WORD_BITS | word[todo])
                 hit = arc >= 0
                 done, arc = todo[hit], arc[hit]
+                if step >= 0:
+                    read[at[done]] = 1 + np.searchsorted(self.first, s[done], side="right")
                 gained[done] += self.weight[arc] - own_log[at[done]]
                 s[done] = self.target[arc]
                 todo = todo[~hit]
@@ -219,7 +221,7 @@ class Model:
             state[live] = s
             if step >= 0:
                 score[live] += gained
-        return np.bincount(owner, score, len(sizes))
+        return np.bincount(owner, score, len(sizes)), read
 
 
 def _buckets(spark: SparkSession) -> int:
@@ -232,24 +234,31 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _dealt(keys: np.ndarray, buckets: int, columns: list[np.ndarray]) -> list[pa.Array]:
-    """Numbers of the buckets that sorted keys fall into, and for each one its part of all columns, one after the other.
+    """Numbers of the buckets that sorted keys fall into, and for each one its part of all columns, packed."""
+    return _packed(_bucket(keys, buckets), columns)
 
-    The first bytes of all numbers come together, then the second ones and so on, and keys as steps from one to the
-    next, so that the many zeros are compressed away on disk.
+
+def _packed(number: np.ndarray, columns: list[np.ndarray]) -> list[pa.Array]:
+    """The different ones of sorted numbers, and for each one its part of all columns, one after the other.
+
+    The first bytes of all values come together, then the second ones and so on, and the first column as steps from one
+    to the next, so that the many zeros are compressed away on disk.
     """
-    ends = np.flatnonzero(np.diff(_bucket(keys, buckets), append=np.uint64(buckets))) + 1
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    ends = np.append(np.flatnonzero(number[1:] != number[:-1]) + 1, len(number))[:len(number)]
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)[:len(ends)]
+    steps = columns[0].copy()
+    steps[1:] -= columns[0][:-1]
+    steps[starts] = columns[0][starts]
 
     def part(column: np.ndarray, lo: int, hi: int) -> bytes:
-        values = np.diff(column[lo:hi], prepend=column.dtype.type(0)) if column is keys else column[lo:hi]
-        return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+        return column[lo:hi].view(np.uint8).reshape(hi - lo, -1).T.tobytes()
 
-    return [pa.array(_bucket(keys[starts], buckets).astype(np.int32)),
-            pa.array([b"".join(part(c, lo, hi) for c in columns) for lo, hi in zip(starts, ends)], pa.binary())]
+    return [pa.array(number[starts].astype(np.int32)),
+            pa.array([b"".join(part(c, lo, hi) for c in [steps, *columns[1:]]) for lo, hi in zip(starts.tolist(), ends.tolist())], pa.binary())]
 
 
 def _undealt(parts: list[bytes], types: list[type], keyed: bool) -> list[np.ndarray]:
-    """The columns of all parts that `_dealt` made; whether the first one is the keys."""
+    """The columns of all parts that `_dealt` made; whether the first one is in steps."""
     sizes = [np.dtype(t).itemsize for t in types]
     out: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in types]
     for part in parts:
@@ -261,23 +270,35 @@ def _undealt(parts: list[bytes], types: list[type], keyed: bool) -> list[np.ndar
     return [np.concatenate(c) for c in out]
 
 
-def _counted(rows: DataFrame, keys_of, names: list[str], least: int = 1) -> DataFrame:
-    """Sum over all texts of what `keys_of` finds in a batch, a hash that tells apart and columns `names`: `key`, those,
-    and `n`, if it is `least` or more. With columns the hash must be their `pair`; without, they are the hash.
+def _counted(rows: DataFrame, columns_of, names: list[str], least: int = 1) -> DataFrame:
+    """Sum over all texts of what `columns_of` finds in a batch, columns `names` whose `pair` is the hash that tells apart, or
+    that hash alone: `key`, those, and `n`, if it is `least` or more.
 
-    Tasks count `PENDING` tokens at a time and send one packed row for each bucket of hashes.
+    Tasks count `PENDING` tokens at a time and send one packed row for each bucket of hashes, sorted by its first column,
+    which repeats.
     """
     buckets = _buckets(rows.sparkSession)
     types = [np.uint64] * max(len(names), 1) + [np.uint32]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _pending((keys_of(*tokens(batch.column("text"))) for big in batches for batch in slices(big, "text"))):
-            keys, at, n = np.unique(found[0], return_index=True, return_counts=True)
-            columns = [c[at] for c in found[1:]] or [keys]
-            yield pa.record_batch(_dealt(keys, buckets, [*columns, n.astype(np.uint32)]), ["bucket", "data"])
+        let_go()
+        for found in _pending((columns_of(*tokens(batch.column("text"))) for big in batches for batch in slices(big, "text"))):
+            keys = pair(*found) if names else found[0]
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+            n = np.diff(first, append=len(keys)).astype(np.uint32)
+            keys, order = keys[first], order[first]
+            number, columns = _bucket(keys, buckets), [c[order] for c in found]
+            found.clear()
+            if names:
+                order = np.argsort(columns[0])
+                order = order[np.argsort(number[order].astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")]
+                number, n, columns = number[order], n[order], [c[order] for c in columns]
+            yield pa.record_batch(_packed(number, [*columns, n]), ["bucket", "data"])
 
     def add(table: pa.Table) -> pa.Table:
-        *columns, n = _undealt(table["data"].to_pylist(), types, not names)
+        *columns, n = _undealt(table["data"].to_pylist(), types, True)
         keys = pair(*columns) if names else columns[0]
         order = np.argsort(keys)
         first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
@@ -290,16 +311,25 @@ def _counted(rows: DataFrame, keys_of, names: list[str], least: int = 1) -> Data
 
 
 def _pending(batches: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
-    """Columns of batches put together until they have `PENDING` rows; none is empty."""
+    """Columns of batches put together until they have `PENDING` rows; none is empty. Who takes them may empty the list."""
     held: list[list[np.ndarray]] = []
+    size = 0
+
+    def joined() -> list[np.ndarray]:
+        out = [np.concatenate(c) for c in zip(*held)]
+        held.clear()  # before they are worked on, or they are in memory twice
+        return out
+
     for batch in batches:
         if len(batch[0]):
             held.append(batch)
-        if sum(len(b[0]) for b in held) >= PENDING:
-            yield [np.concatenate(c) for c in zip(*held)]
-            held = []
+            size += len(batch[0])
+        del batch
+        if size >= PENDING:
+            yield joined()
+            size = 0
     if held:
-        yield [np.concatenate(c) for c in zip(*held)]
+        yield joined()
 
 
 def _costs(grams: DataFrame) -> DataFrame:
@@ -310,19 +340,25 @@ def _costs(grams: DataFrame) -> DataFrame:
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
-    """Bits at the hashes of all keys, merged by the executors: of the same size for any number of keys."""
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = np.unique(batch.column("key").to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1))
-            at, first = np.unique(bit >> np.uint64(6), return_index=True)
-            mask = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first) if len(bit) else bit
-            yield pa.record_batch([pa.array(at.view(np.int64)), pa.array(mask.view(np.int64))], ["at", "mask"])
+    """Bits at the hashes of all keys, merged by the executors in blocks: of the same size for any number of keys."""
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for found, in _pending([batch.column("key").to_numpy().view(np.uint64)] for batch in batches):
+            bit = np.unique((found & np.uint64(FILTER_BITS - 1)).astype(np.uint32))
+            yield pa.record_batch(_packed(bit // np.uint32(FILTER_BITS // FILTER_BLOCKS), [bit]), ["block", "data"])
+
+    def merged(table: pa.Table) -> pa.Table:
+        block, held = table["block"][0].as_py(), np.zeros(FILTER_BITS // FILTER_BLOCKS, bool)
+        for data in table["data"].to_pylist():
+            held[_undealt([data], [np.uint32], True)[0] - np.uint32(block * len(held))] = True
+        return pa.table([pa.array([block], pa.int32()), pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())], ["block", "data"])
 
     with shuffles_removed(keys.sparkSession):
-        found = keys.mapInArrow(bits, "at long, mask long").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[found["at"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
-    return out
+        found = keys.mapInArrow(dealt, "block int, data binary").groupBy("block").applyInArrow(merged, "block int, data binary").toArrow()
+    out = np.zeros((FILTER_BLOCKS, FILTER_BITS // FILTER_BLOCKS // 64), "<u8")
+    for block, data in zip(found["block"].to_pylist(), found["data"].to_pylist()):
+        out[block] = np.frombuffer(data, "<u8")
+    return out.reshape(-1)
 
 
 def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
@@ -333,6 +369,7 @@ def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame
     arc; a longer n-gram what it weighs more than the way round by the failure arc before it, and its own failure
     arc. So each n-gram can be looked up by itself, in the automaton or in the tables.
     """
+    small_batches(training.sparkSession)
     rows = training.select(text_of(text_col).alias("text"))
     words = stored(_counted(rows, lambda words, upto: [words], []), "words")
     total, kinds, once, texts = words.agg(F.sum("n"), F.count("*"), F.sum((F.col("n") == 1).cast("long")),
@@ -349,16 +386,17 @@ def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame
     for size in range(2, ORDER + 1):
         shared = spark.sparkContext.broadcast(_filter(below.select("key")))
 
-        def keys_of(words: np.ndarray, upto: np.ndarray, size: int = size, shared: Broadcast = shared) -> list[np.ndarray]:
-            keys, a, b = grams(words, upto, size)  # both shorter n-grams occur as often as this one at least
+        def columns_of(words: np.ndarray, upto: np.ndarray, size: int = size, shared: Broadcast = shared) -> list[np.ndarray]:
+            a, b = grams(words, upto, size)  # both shorter n-grams occur as often as this one at least
             may = passes(shared.value, a) & passes(shared.value, b)
-            return [x[may] for x in (keys, a, b)]
+            return [x[may] for x in (a, b)]
 
-        counts = _counted(rows, keys_of, ["a", "b"], LEAST)
+        counts = stored(_counted(rows, columns_of, ["a", "b"], LEAST), "counts")
         known = (counts.join(below.select(F.col("key").alias("a"), F.col("n").alias("all")), "a")
                  .join(below.select(F.col("key").alias("b"), F.col("log").alias("low")), "b")
                  .select("key", "a", "b", "n", F.log10((F.col("n") - 0.5) / F.col("all")).alias("log"), "low"))
         known = stored(known, "known")
+        removed(counts)
         shared.destroy()  # its file would stay on every machine
         found.append(known)
         arcs.append(stored(_costs(known), "costs"))
@@ -388,7 +426,8 @@ def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame
     hashes, n, on = keys.view(np.uint64)[order], n[order], on[order]
     model = Model(total, kinds, discount, hashes, n, np.arange(1, len(n) + 1), [], [])
     start = arcs[0].where(F.col("a") == int(START)).first()
-    costs, held = [np.concatenate([[start["cost"] if start else 0.0], on])], []
+    removed(words, *found, *arcs)  # all that is read later is in the levels
+    costs = [np.concatenate([[start["cost"] if start else 0.0], on])]
     numbers = np.concatenate([[0], np.arange(1, len(n) + 1)])  # of the contexts `hashes`, the start before the words
     hashes = np.concatenate([[START], hashes]).astype(np.uint64)
     last = numbers
@@ -403,9 +442,7 @@ def learn(training: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame
         model.grams.append(packed[order])
         model.gram_counts.append(n[order])
         costs.append(on[order])
-        held.append(key)
         hashes, last, numbers = key[order], word[order], np.arange(len(order))
-    model.held = np.sort(np.concatenate(held))
     model.longer = reduce(DataFrame.unionByName, longer)
     model.seen = _filter(model.longer.select("key"))
     model.link(texts, costs)
@@ -425,9 +462,12 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     """
     spark = docs.sparkSession
     shared, buckets, size = spark.sparkContext.broadcast(model), _buckets(spark), float(model.total + model.kinds + 1)
-    names = ["bucket", "data", "row", "id", "n_tokens", "known", "base", "gained", "unseen"]
+    small_batches(spark)
+    names = ["bucket", "data", "batch", "row", "id", "n_tokens", "known", "base", "gained", "unseen"]
+    answer = [np.uint32, np.int64, float, float]  # row in its batch, words known, their base score, what all n-grams gain
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         tool, told = shared.value, []
 
         def looked_up() -> Iterator[list[np.ndarray]]:
@@ -440,57 +480,74 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                     known = place >= 0
                     base = np.zeros(len(words))
                     base[known] = tool.base_logs(tool.counts[place[known]])
-                    told.append(pa.record_batch([
-                        pa.array(_bucket(mix(rows), buckets).astype(np.int32)), pa.nulls(n, pa.binary()), batch.column("row"), batch.column("id"),
-                        pa.array(np.diff(upto)), pa.array(np.bincount(owner, known, n).astype(np.int64)), pa.array(np.bincount(owner, base, n)),
-                        pa.array(tool.traverse(place, numbers, upto)), pa.array(np.bincount(owner, ~known, n).astype(np.int64))], names))
-                    longer, whose = tool.missed(words, upto, owner)
+                    gained, read = tool.traverse(place, numbers, upto)
+                    told.append([batch.column("row"), batch.column("id"), pa.array(np.diff(upto)), pa.array(np.bincount(owner, known, n).astype(np.int64)),
+                                 pa.array(np.bincount(owner, base, n)), pa.array(gained), pa.array(np.bincount(owner, ~known, n).astype(np.int64))])
+                    longer, whose = tool.missed(words, upto, owner, read)
                     yield [np.concatenate([words[~known], longer]), rows[np.concatenate([owner[~known], whose])]]
 
+        def own(first: int) -> Iterator[pa.RecordBatch]:
+            for columns in told:
+                n, number = len(columns[0]), _bucket(mix(columns[0].to_numpy()), buckets).astype(np.int32)
+                yield pa.record_batch([pa.array(number), pa.nulls(n, pa.binary()), pa.array(np.full(n, first)), *columns], names)
+
         for keys, rows in _pending(looked_up()):
-            yield from told
-            schema = told[0].schema
+            first, blank = told[0][0][0].as_py(), [c.type for c in told[0]]  # rows of a task are numbered one after the other
+            yield from own(first)
             told.clear()
             order = np.argsort(keys)
-            keys, first = keys[order], int(rows.min())  # rows of a task are numbered one after the other
-            number, data = _dealt(keys, buckets, [keys, (rows[order] - first).astype(np.uint32)])
-            blank = [pa.nulls(len(number), t) for t in schema.types[3:]]
-            yield pa.record_batch([number, data, pa.array(np.full(len(number), first)), *blank], names)
-        yield from told
-
-    def look_up(asked: pa.Table, table: pa.Table) -> pa.Table:
-        """What the tables add to the rows: for each row that the bucket asks for, how many words they know and what these
-        and longer n-grams gain; and what the rows have already."""
-        blobs = asked.filter(pc.is_valid(asked["data"]))
-        keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for data, first in zip(blobs["data"].to_pylist(), blobs["row"].to_pylist()):
-            key, row = _undealt([data], [np.uint64, np.uint32], True)
-            keys.append(key)
-            rows.append(row + np.int64(first))
-        keys, rows = np.concatenate(keys), np.concatenate(rows)
-        held = table["key"].to_numpy().view(np.uint64)
+            number, data = _dealt(keys := keys[order], buckets, [keys, (rows[order] - first).astype(np.uint32)])
+            yield pa.record_batch([number, data, pa.array(np.full(len(number), first)), *(pa.nulls(len(number), t) for t in blank)], names)
+        if told:
+            yield from own(told[0][0][0].as_py())
+
+    def dealt_gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for keys, n, gain in _pending([batch.column("key").to_numpy().view(np.uint64), pc.fill_null(batch.column("n"), 0).to_numpy(),
+                                       batch.column("gain").to_numpy()] for batch in batches):
+            order = np.argsort(keys)
+            yield pa.record_batch(_dealt(keys := keys[order], buckets, [keys, n[order], gain[order]]), names[:2])
+
+    def look_up(table: pa.Table) -> pa.Table:
+        """The rows, and for each batch that asks the bucket, packed: its rows that the tables add to, how many words they know
+        and what these and longer n-grams gain."""
+        packed, asks = pc.is_valid(table["data"]), pc.is_valid(table["batch"])
+        held, n, gain = _undealt(table.filter(pc.and_not(packed, asks))["data"].to_pylist(), [np.uint64, np.int64, float], True)
         order = np.argsort(held)
-        at = places(held[order], keys)
-        at, rows = order[at[at >= 0]], rows[at >= 0]
-        n, gain = pc.fill_null(table["n"], -1).to_numpy()[at], table["gain"].to_numpy()[at]
-        rows, which = np.unique(rows, return_inverse=True)
-        word = n >= 0
-        added = [rows, *(np.bincount(which, x, len(rows)) for x in (word, np.where(word, np.log10((np.maximum(n, 0) + 1) / size), 0.0), gain))]
-        own = asked.filter(pc.is_null(asked["data"])).select(names[2:])
-        none = len(own)
-        out = [(own[c], pa.nulls(len(rows), own.schema.field(c).type)) for c in names[3:]]
-        more = [(pa.array(np.zeros(none, t)), pa.array(x.astype(t))) for x, t in zip(added[1:], (np.int64, float, float))]
-        both = [pa.chunked_array([*(x.chunks if isinstance(x, pa.ChunkedArray) else [x]), y.cast(x.type)]) for x, y in [(own["row"], pa.array(added[0])), *out, *more]]
-        return pa.table(both, [*names[2:], "rest_known", "rest_base", "rest_gain"])
+        held = held[order]
+        asked, answers = table.filter(pc.and_(packed, asks)), []
+        for data in asked["data"].to_pylist():
+            keys, rows = _undealt([data], [np.uint64, np.uint32], True)
+            at = places(held, keys)
+            at, rows = order[at[at >= 0]], rows[at >= 0]
+            count, found = n[at], np.flatnonzero(np.bincount(rows))
+            word = count > 0
+            sums = [np.bincount(rows, x)[found] for x in (word, np.where(word, np.log10((count + 1) / size), 0.0), gain[at])]
+            part = _packed(np.zeros(len(found), np.int64), [c.astype(t) for c, t in zip((found, *sums), answer)])[1]
+            answers.append(part[0].as_py() if len(part) else b"")
+        answers = pa.array(answers, pa.binary())
+        told = table.filter(pc.invert(packed))
+        return pa.concat_tables([told, asked.set_column(1, "data", answers).cast(told.schema)]).drop_columns("bucket")
+
+    def summed(table: pa.Table) -> pa.Table:
+        """The rows of a batch, with what all buckets add to them."""
+        packed = pc.is_valid(table["data"])
+        rows, *added = _undealt(table.filter(packed)["data"].to_pylist(), answer, True)
+        told = table.filter(pc.invert(packed))
+        at = told["row"].to_numpy() - table["batch"][0].as_py()
+        order = np.argsort(at)
+        place = order[np.searchsorted(at[order], rows)]
+        out = [np.bincount(place, x, len(at)).astype(x.dtype) for x in added]
+        return pa.table([*(told[c] for c in names[4:]), *map(pa.array, out)], [*names[4:], "rest_known", "rest_base", "rest_gain"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     kind = rows.schema["id"].dataType.simpleString()
-    columns = f"row long, id {kind}, n_tokens long, known long, base double, gained double, unseen long"
-    asked = rows.mapInArrow(run, f"bucket int, data binary, {columns}")
-    bucket = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long"), 32).cast("int")
-    gains = counts.unionByName(model.longer.withColumn("n", F.lit(None).cast("long"))).select(bucket.alias("bucket"), "key", "n", "gain")
-    told = asked.groupBy("bucket").cogroup(gains.groupBy("bucket")).applyInArrow(look_up, f"{columns}, rest_known long, rest_base double, rest_gain double")
-    sums = told.groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), *(F.sum(c).alias(c) for c in told.columns[2:]))
+    columns = f"id {kind}, n_tokens long, known long, base double, gained double, unseen long"
+    asked = rows.mapInArrow(run, f"bucket int, data binary, batch long, row long, {columns}")
+    gains = counts.unionByName(model.longer.withColumn("n", F.lit(None).cast("long"))).select("key", "n", "gain")
+    both = asked.unionByName(gains.mapInArrow(dealt_gains, "bucket int, data binary"), allowMissingColumns=True)
+    told = both.groupBy("bucket").applyInArrow(look_up, f"data binary, batch long, row long, {columns}")
+    sums = told.groupBy("batch").applyInArrow(summed, f"{columns}, rest_known long, rest_base double, rest_gain double")
     unseen = F.col("unseen") - F.col("rest_known")
     return sums.select(
         F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.col("rest_known")).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),

@@ -2,11 +2,14 @@
 
 import hashlib
 import math
+import os
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import compare, connect
 from pyspark.sql import functions as F
@@ -428,6 +431,74 @@ def test_packed_columns_come_back():
     assert all(np.all(ngram._bucket(b[0], 24) == k) for k, b in zip(number.to_pylist(), back))
 
 
+def test_batches_put_together_are_not_held_twice():
+    made = []
+
+    def column(k):
+        made.append(weakref.ref(out := np.full(ngram.PENDING // 2, k)))
+        return out
+
+    sizes = []
+    for columns in ngram._pending([column(k)] for k in range(6)):
+        sizes.append(len(columns[0]))
+        assert not any(m() is not None for m in made)
+    assert sizes == [ngram.PENDING] * 3
+
+
+def test_tables_of_learning_are_removed_once_read(spark, monkeypatch):
+    """At the end only the two kinds of tables stay that scoring reads: the levels, and no count, join or cost."""
+    kept, write = {}, ngram.stored
+
+    def noted(df, name):
+        out = write(df, name)
+        kept[out.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")] = name
+        return out
+
+    monkeypatch.setattr(ngram, "stored", noted)
+    docs = spark.createDataFrame([(i, "a b c a b d a b c e") for i in range(5)], "doc_id long, text string")
+    model, gains = ngram.learn(docs)
+    assert {name for path, name in kept.items() if os.path.exists(path.replace("//", "/"))} == {"leading"}
+    assert {"words", "counts", "known", "costs", "leading"} == set(kept.values())
+    assert gains.count() == model.kinds and model.longer.count() > 0
+
+
+def test_traversal_tells_the_longest_ngram_held(spark, monkeypatch):
+    monkeypatch.setattr(ngram, "GRAM_SHARE", 0.02)
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{int(k)}" for k in rng.zipf(1.4, 150)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, _ = ngram.learn(docs)
+    words, upto = ngram.tokens(pa.array(texts))
+    place, numbers = model.numbers(words, upto)
+    _, read = model.traverse(place, numbers, upto)
+    lists = [["<s>", *t.split(), "</s>"] for t in texts]
+    seen = Counter(tuple(line[k:k + n]) for line in lists for n in (1, 2, 3) for k in range(len(line) - n + 1))
+    least = max(ngram.LEAST, math.ceil(sum(len(line) - 1 for line in lists) * 0.02))
+    for n, (line, at) in enumerate(zip(lists, upto)):
+        for k in range(1, len(line)):
+            longest = max((m for m in (2, 3) if m <= k + 1 and seen[tuple(line[k - m + 1:k + 1])] >= least), default=1)
+            assert max(1, read[at + k - 1]) == longest, (n, k)
+    assert set(read.tolist()) >= {2, 3}
+
+
+def test_hashes_of_words_by_eight_bytes():
+    rng = np.random.default_rng(8)
+    words = [bytes(rng.integers(0, 3, int(n)).astype(np.uint8)) for n in rng.integers(1, 30, 3000)] + [b"x", b"x\0", b"x" * 8, b"x" * 8 + b"\0", b"x" * 16]
+    data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words])
+    hashes = common.word_hashes(data, ends - [len(w) for w in words], ends)
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+
+
+def test_answers_are_packed_by_batch_not_by_row(spark):
+    """No row for each text and bucket leaves the look-up, so no aggregate folds them; rows of many partitions keep their sums."""
+    docs = spark.createDataFrame([(i, f"a b c{i % 7} d a b c{i % 5}") for i in range(200)], "doc_id long, text string")
+    learnt = ngram.learn(docs.where("doc_id % 2 = 0"))
+    out = ngram.score(docs.repartition(5), *learnt)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    one = {r["doc_id"]: r["score"] for r in ngram.score(docs.coalesce(1), *learnt).collect()}
+    assert {r["doc_id"]: r["score"] for r in out.collect()} == pytest.approx(one) and len(one) == 200
+
+
 def test_fingerprints(spark, texts):
     found = {r["doc_id"]: r for r in run(spark, "op10_order_minhash")}
     ids = sorted(texts, reverse=True)
