@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ FILTER_BITS, FILTER_BLOCKS = 1 << 27, 64
 #: Ranges of hashes for each shuffle partition, and rows that a task gathers before it deals them out.
 BUCKETS_EACH, PENDING = 1, 1_000_000
 #: Tokens that one lane of the traversal reads; lanes run side by side.
-LANE = 64
+LANE = 32
 #: Hashes that stand for a text's start and its end, and the bits of a word's number in an n-gram's key.
 START, END, WORD_BITS = np.uint64(0), np.uint64(1), 22
 LOWER = np.arange(256, dtype=np.uint8)
@@ -56,6 +56,30 @@ def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+class Index:
+    """Finds hashes in a list by their first bits and a few steps, where a binary search takes many."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        bits = max(1, len(hashes).bit_length())
+        self.shift, self.order = np.uint64(64 - bits), np.argsort(hashes)
+        self.hashes = np.append(hashes[self.order], ~np.uint64(0))
+        self.start = np.searchsorted(self.hashes[:-1] >> self.shift, np.arange(1 << bits, dtype=np.uint64)).astype(np.int32)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash in the list, or -1."""
+        at = self.start[(hashes >> self.shift).astype(np.int64)]
+        found = self.hashes[at]
+        less = np.flatnonzero(found < hashes)
+        while len(less):
+            at[less] += 1
+            found[less] = self.hashes[at[less]]
+            less = less[found[less] < hashes[less]]
+        out = np.full(len(hashes), -1, np.int64)
+        hit = np.flatnonzero((found == hashes) & (at < len(self.order)))
+        out[hit] = self.order[at[hit]]
+        return out
+
+
 def grams(words: np.ndarray, upto: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Of the n-gram that ends at each token: hash of its words but the last, and of those but the first; its own is their `pair`.
 
@@ -109,6 +133,14 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"longer": None}
 
+    @cached_property
+    def word_index(self) -> Index:
+        return Index(self.words)
+
+    @cached_property
+    def arc_index(self) -> Index:
+        return Index(mix(self.arcs))
+
     def unseen(self) -> float:
         return self.discount * self.kinds / self.total if self.total else 1.0
 
@@ -123,7 +155,7 @@ class Model:
 
     def numbers(self, words: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each token among the known words, and its number among the frequent ones (0: a text's start)."""
-        place = places(self.words, words)
+        place = self.word_index.places(words)
         return place, np.where(place >= 0, self.frequent[place] if len(self.frequent) else -1, -1)
 
     def missed(self, words: np.ndarray, upto: np.ndarray, owner: np.ndarray, read: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +237,7 @@ class Model:
             s[rare] = 0
             todo = np.flatnonzero(~rare)
             while len(todo):
-                arc = places(self.arcs, s[todo] << WORD_BITS | word[todo])
+                arc = self.arc_index.places(mix(s[todo] << WORD_BITS | word[todo]))
                 hit = arc >= 0
                 done, arc = todo[hit], arc[hit]
                 if step >= 0:
@@ -213,9 +245,9 @@ class Model:
                 gained[done] += self.weight[arc] - own_log[at[done]]
                 s[done] = self.target[arc]
                 todo = todo[~hit]
-                bottom = todo[s[todo] == 0]
+                ended = s[todo] == 0
+                bottom, todo = todo[ended], todo[~ended]
                 s[bottom] = 1 + word[bottom] if len(self.fail) > 1 else 0
-                todo = np.setdiff1d(todo, bottom, assume_unique=True)
                 gained[todo] += self.cost[s[todo]]
                 s[todo] = self.fail[s[todo]]
             state[live] = s

@@ -481,6 +481,16 @@ def test_traversal_tells_the_longest_ngram_held(spark, monkeypatch):
     assert set(read.tolist()) >= {2, 3}
 
 
+def test_index_finds_what_a_binary_search_finds():
+    rng = np.random.default_rng(9)
+    last = ~np.uint64(0)
+    for n, top in ((0, 1 << 64), (1, 1 << 64), (500, 1 << 64), (500, 700)):
+        held = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+        for keys in (held, np.append(held, last)):
+            asked = np.concatenate([held, held + np.uint64(1), rng.integers(0, last, 300, dtype=np.uint64), np.array([0, last], np.uint64)])
+            assert np.array_equal(ngram.Index(keys).places(asked), ngram.places(keys, asked))
+
+
 def test_hashes_of_words_by_eight_bytes():
     rng = np.random.default_rng(8)
     words = [bytes(rng.integers(0, 3, int(n)).astype(np.uint8)) for n in rng.integers(1, 30, 3000)] + [b"x", b"x\0", b"x" * 8, b"x" * 8 + b"\0", b"x" * 16]
