@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.fixtures import CHUNKS_SQL, OPTIONS, PADDED_SQL, SILENCE_SQL, WORDS_SQL, frames, has_hot_call, words
 from catalog.registry import query, table, texts
 from parley.operators import hypotheses, speech
 from parley.operators import words as timing
+from parley.operators.lookup import same_keys
+from parley.session import spread_by
 
 
 def _padded(spark, sf_dir, hot):
@@ -113,12 +118,20 @@ p3 AS (SELECT *, sum(ms) OVER (PARTITION BY doc_id ORDER BY word_no) AS e FROM p
 pieces AS (SELECT doc_id, word_no, word, (e - ms) / 1000.0::DOUBLE AS start, e / 1000.0::DOUBLE AS "end" FROM p3)"""
 
 
-def _pieces(spark, sf_dir):
-    """Pieces of a text, which was one row: no key can be too large for a task."""
+# Bytes of the texts of one id whose pieces, some five bytes each, a task may hold in one row.
+MAX_TEXT_BYTES = 2_000_000
+
+
+def _documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _pieces(documents):
+    """Pieces of texts, which are dealt out by their id first: they are far less than their pieces."""
     from parley.functions.arrays import running_sums
 
     found = F.regexp_extract_all("text", F.lit(PIECE), F.lit(0))
-    rows = texts(spark, sf_dir).select("doc_id", found.alias("_p"))
+    rows = spread_by(documents, ["doc_id"]).select("doc_id", found.alias("_p"))
     rows = rows.withColumn("_ms", F.transform("_p", lambda w, i: F.when(i % 11 == 0, 900).otherwise(F.length(w) * 40)))
     rows = rows.withColumn("_ends", running_sums(F.col("_ms")))
     rows = rows.select("doc_id", F.posexplode(F.arrays_zip("_p", "_ms", "_ends")).alias("word_no", "_w"))
@@ -137,7 +150,8 @@ SELECT doc_id, word_no,
   round(CASE WHEN "end" - start > 2 * median AND prev IS NOT NULL AND contains('.。!！?？', word)
     THEN start + 2 * median ELSE "end" END, 6) AS "end" FROM l""")
 def _(spark, sf_dir):
-    rows = timing.trim_long_words(_pieces(spark, sf_dir), ["doc_id"], hot=False)
+    # A text was one row: no key can be too large for a task.
+    rows = timing.trim_long_words(_pieces(_documents(spark, sf_dir)), ["doc_id"], hot=False)
     return rows.select("doc_id", "word_no", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
@@ -159,7 +173,14 @@ c AS (SELECT *, sum(CASE WHEN prev IS NOT NULL AND contains({CLOSING_SQL}, word)
 SELECT doc_id, min(word_no) AS word_no, string_agg(word, '' ORDER BY word_no) AS word, min_by(start, word_no) AS start,
   min_by("end", word_no) AS "end" FROM c GROUP BY doc_id, run2""")
 def _(spark, sf_dir):
-    return timing.merge_punctuation(_pieces(spark, sf_dir), ["doc_id"], hot=False)
+    documents = _documents(spark, sf_dir)
+    size = documents.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("_bytes"))
+    long = size.filter(F.col("_bytes") > MAX_TEXT_BYTES).select("doc_id")
+    if long.isEmpty():
+        return timing.merge_punctuation(_pieces(documents), ["doc_id"], hot=False)
+    parts = (timing.merge_punctuation(_pieces(same_keys(documents, long, ["doc_id"], how)), ["doc_id"], hot=hot)
+             for how, hot in (("left_anti", False), ("left_semi", True)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def numbered(part: str, inside):

@@ -98,6 +98,13 @@ class Ordered:
             lambda c, w: F.lag(c).over(w))
         return self._neighbour(rows, values, F.lag, F.row_number().over(self._window) == 1)
 
+    def second_previous(self, **values: Column) -> Ordered:
+        """Values of the row before the last; null on the first two rows."""
+        if not self.hot:
+            return replace(self, df=self.df.withColumns({n: F.lag(v, 2).over(self._window) for n, v in values.items()}))
+        line = self.previous(**{f"_p_{n}": v for n, v in values.items()}).previous(**{n: F.col(f"_p_{n}") for n in values})
+        return replace(line, df=line.df.drop(*(f"_p_{n}" for n in values)))
+
     def following(self, **values: Column) -> Ordered:
         """Values of the row after; null on the last row."""
         if not self.hot:

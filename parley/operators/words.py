@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.functions.arrays import bind
 from parley.functions.text import strip
 from parley.operators.lookup import is_small, same_keys
 from parley.operators.ordered import is_hot, ordered, position_block
@@ -17,6 +18,9 @@ SENTENCE_MARKS = ".。!！?？"
 PREPENDED = "\"'“¿([{-"
 APPENDED = "\"'.。,，!！?？:：”)]}、"
 
+#: Words of one key that a task may hold in one row; some 200 bytes each.
+MAX_FOLDED_ROWS = 500_000
+
 #: Levels of dyadic time cells above the smallest, for turns and for words, and the farthest time that is told apart.
 TURN_LEVELS, WORD_LEVELS = 40, 8
 FARTHEST_S = 1e15
@@ -68,31 +72,63 @@ def merge_punctuation(words: DataFrame, keys: list[str], number: str = "word_no"
                       appended: str = APPENDED, hot: bool | None = None) -> DataFrame:
     """Join opening marks to the next word and closing marks to the previous one.
 
-    A word keeps its own time. A run is opening marks, a word and closing marks; all runs are numbered in one pass and
-    folded by one aggregate. Marks hold no blanks. Null words are left out first, empty ones that stand alone at last.
+    A word keeps its own time. A run is opening marks, a word and closing marks; one window tells where runs start, and
+    the words of a key are folded in one row. If a key is too long for that, its runs are numbered and folded by an
+    aggregate. Marks hold no blanks. Null words are left out first, empty ones that stand alone at last.
     """
     words = words.filter(F.col("word").isNotNull())
-    hot = is_hot(words, keys) if hot is None else hot
-    line = ordered(words, keys, [number], position_block(number), hot).following(_after=F.col("word"))
-    line = line.with_columns(_opening=F.col("word").startswith(" ") & _in(prepended, strip(F.col("word"))) & F.col("_after").isNotNull())
-    line = line.previous(_mark=F.struct(F.col("_opening").alias("opening"), F.col("word").endswith(" ").alias("blank")))
-    opened = F.coalesce(F.col("_mark.opening"), F.lit(False))
+    hot = is_hot(words, keys, MAX_FOLDED_ROWS) if hot is None else hot
+
+    def opens(word: Column) -> Column:
+        # Few words have a mark or white space in second place; only those are stripped.
+        letter = F.substring(word, 2, 1)
+        return word.startswith(" ") & (_in(prepended, letter) | (letter < "!") | (letter > "~")) & _in(prepended, strip(word))
+
+    word, before, second = F.col("word"), F.col("_before"), F.col("_second_before")
+    line = ordered(words, keys, [number], position_block(number), hot)
+    line = line.following(_after=word).previous(_before=word).second_previous(_second_before=word)
+    line = line if hot else line.number("_n")
     # An empty word ends as the opening mark before it does.
-    blank = F.col("word").endswith(" ") | ((F.col("word") == "") & opened & F.col("_mark.blank"))
-    line = line.with_columns(_opened=opened, _blank=blank).previous(_blank_before=F.col("_blank"))
-    closing = ~F.col("_opening") & _in(appended, F.col("word")) & F.col("_blank_before").isNotNull() & ~F.col("_blank_before")
-    line = line.with_columns(_starts=(~F.col("_opened") & ~F.coalesce(closing, F.lit(False))).cast("int"))
-    rows = line.running_sum(_run=F.col("_starts")).rows()
+    blank_before = before.endswith(" ") | ((before == "") & F.coalesce(opens(second) & second.endswith(" "), F.lit(False)))
+    opening = opens(word) & F.col("_after").isNotNull()
+    closing = ~F.col("_opening") & _in(appended, word) & before.isNotNull() & ~blank_before
+    starts = ~F.coalesce(opens(before), F.lit(False)) & ~F.coalesce(closing, F.lit(False))
+    line = line.with_columns(_opening=opening).with_columns(_starts=starts)
     rest = [c for c in words.columns if c not in (*keys, "word")]
-    place = F.struct(F.col(number))  # not null, so a row without a number counts
-    # Rows lie in this order already but for Spark to know, so sorting is cheap and spares the aggregate two sorts of its own.
-    runs = (rows if line.hot else rows.sortWithinPartitions(*keys, "_run")).groupBy(*keys, "_run").agg(
-        F.min_by(F.struct(*rest), F.when(~F.col("_opening"), place)).alias("_own"),
-        F.sort_array(F.collect_list(F.struct(number, "word"))).alias("_words"))
-    return runs.withColumn("word", F.array_join(F.col("_words.word"), "")).filter(F.col("word") != "").select(
+    own = F.struct(*(F.col(f"`{c}`") for c in rest))
+    if hot:
+        # Stored first, so that the sort of an aggregate does not take the memory that the windows before it need.
+        rows = cut(line.running_sum(_run=F.col("_starts").cast("int")).rows())
+        place = F.struct(F.col(number))  # not null, so a row without a number counts
+        runs = rows.groupBy(*keys, "_run").agg(
+            F.min_by(own, F.when(~F.col("_opening"), place)).alias("_own"),
+            F.sort_array(F.collect_list(F.struct(number, "word"))).alias("_words"))
+        runs = runs.withColumn("word", F.array_join(F.col("_words.word"), ""))
+    else:
+        # Rows lie in this order already, and an aggregate of sorted rows holds one key at a time.
+        place = F.struct("_n", "word", "_opening", "_starts", own.alias("_own"))
+        lines = line.rows().groupBy(*keys).agg(F.collect_list(place).alias("_line"))
+        runs = lines.select(*keys, F.explode(_runs(F.col("_line"))).alias("_r")).select(*keys, "_r.*")
+    return runs.filter(F.col("word") != "").select(
         *(F.col(f"_own.`{c}`").alias(c) if c in rest else F.col(c) for c in words.columns))
 
 
+def _runs(line: Column) -> Column:
+    """The runs `(word, _own)` of the words of one key; `_own` is that of the first word that does not open."""
+    def fold(a: Column) -> Column:
+        def run(start: Column, n: Column) -> Column:
+            first = F.get(a, start)
+            return F.when(n == 1, F.struct(first["word"].alias("word"), first["_own"].alias("_own"))).otherwise(bind(
+                F.slice(a, start + 1, n), lambda part: F.struct(
+                    F.array_join(F.transform(part, lambda w: w["word"]), "").alias("word"),
+                    F.get(F.filter(part, lambda w: ~w["_opening"]), F.lit(0))["_own"].alias("_own"))))
+
+        starts = F.filter(F.transform(a, lambda w, i: F.when(w["_starts"], i)), lambda i: i.isNotNull())
+        return bind(starts, lambda s: F.transform(s, lambda at, i: run(at, F.coalesce(F.get(s, i + 1), F.size(a)) - at)))
+
+    return bind(F.array_sort(line, lambda x, y: (x["_n"] - y["_n"]).cast("int")), fold)
+
+
 def segment_edges(words: DataFrame, keys: list[str]) -> DataFrame:
     """First, second and last word time of each segment; `word_no` counts from 0 in the segment."""
     time = F.struct("start", "end")
