@@ -126,12 +126,12 @@ def _documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def _pieces(documents):
-    """Pieces of texts, which are dealt out by their id first: they are far less than their pieces."""
+def _pieces(documents, size):
+    """Pieces of texts of `size` bytes, which are dealt out by their id first: they are far less than their pieces."""
     from parley.functions.arrays import running_sums
 
     found = F.regexp_extract_all("text", F.lit(PIECE), F.lit(0))
-    rows = spread_by(documents, ["doc_id"]).select("doc_id", found.alias("_p"))
+    rows = spread_by(documents, ["doc_id"], size).select("doc_id", found.alias("_p"))
     rows = rows.withColumn("_ms", F.transform("_p", lambda w, i: F.when(i % 11 == 0, 900).otherwise(F.length(w) * 40)))
     rows = rows.withColumn("_ends", running_sums(F.col("_ms")))
     rows = rows.select("doc_id", F.posexplode(F.arrays_zip("_p", "_ms", "_ends")).alias("word_no", "_w"))
@@ -150,8 +150,10 @@ SELECT doc_id, word_no,
   round(CASE WHEN "end" - start > 2 * median AND prev IS NOT NULL AND contains('.。!！?？', word)
     THEN start + 2 * median ELSE "end" END, 6) AS "end" FROM l""")
 def _(spark, sf_dir):
+    documents = _documents(spark, sf_dir)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A text was one row: no key can be too large for a task.
-    rows = timing.trim_long_words(_pieces(_documents(spark, sf_dir)), ["doc_id"], hot=False)
+    rows = timing.trim_long_words(_pieces(documents, size), ["doc_id"], hot=False)
     return rows.select("doc_id", "word_no", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
@@ -174,11 +176,12 @@ SELECT doc_id, min(word_no) AS word_no, string_agg(word, '' ORDER BY word_no) AS
   min_by("end", word_no) AS "end" FROM c GROUP BY doc_id, run2""")
 def _(spark, sf_dir):
     documents = _documents(spark, sf_dir)
-    size = documents.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("_bytes"))
-    long = size.filter(F.col("_bytes") > MAX_TEXT_BYTES).select("doc_id")
-    if long.isEmpty():
-        return timing.merge_punctuation(_pieces(documents), ["doc_id"], hot=False)
-    parts = (timing.merge_punctuation(_pieces(same_keys(documents, long, ["doc_id"], how)), ["doc_id"], hot=hot)
+    sizes = documents.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("_bytes"))
+    size, most = (n or 0 for n in sizes.agg(F.sum("_bytes"), F.max("_bytes")).first())
+    if most <= MAX_TEXT_BYTES:
+        return timing.merge_punctuation(_pieces(documents, size), ["doc_id"], hot=False)
+    long = sizes.filter(F.col("_bytes") > MAX_TEXT_BYTES).select("doc_id")
+    parts = (timing.merge_punctuation(_pieces(same_keys(documents, long, ["doc_id"], how), size), ["doc_id"], hot=hot)
              for how, hot in (("left_anti", False), ("left_semi", True)))
     return reduce(DataFrame.unionByName, parts)
 

@@ -101,6 +101,6 @@ def test_columns_that_have_no_order_are_kept(spark, extra):
 def test_rows_of_a_key_are_dealt_out_together(spark):
     tune(spark)
     keyed = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
-    dealt = spread_by(keyed, ["k"], part_bytes=1000)
-    assert dealt.rdd.getNumPartitions() > 8 == spread_by(keyed, ["k"]).rdd.getNumPartitions()
+    dealt = spread_by(keyed, ["k"], 16_001, part_bytes=1000)
+    assert dealt.rdd.getNumPartitions() == 17 and spread_by(keyed, ["k"], 16_001).rdd.getNumPartitions() == 8
     assert dealt.select("k", F.spark_partition_id().alias("p")).distinct().count() == 7
